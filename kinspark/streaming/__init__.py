@@ -1,0 +1,7 @@
+"""Streaming entry points.
+
+The original programs are batch only.  The one streaming shape that follows
+from them is rule mining over baskets that arrive as files: pair and item
+counts are sums over baskets, so each micro-batch's counts can be added to
+stored totals (see :mod:`kinspark.streaming.incremental`).
+"""
