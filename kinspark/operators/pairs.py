@@ -66,10 +66,21 @@ def item_totals(memb: DataFrame, item_col: str, total_col: str = "freq", square:
 
 
 def member_counts(memb: DataFrame, group_col: str) -> DataFrame:
-    """Distinct items per group: (group, _m).  Also gives the group count."""
+    """Distinct items per group: (group, _m)."""
     return memb.groupBy(group_col).agg(F.count(F.lit(1)).alias("_m"))
 
 
+def row_counts(df: DataFrame, group_col: str, item_col: str) -> DataFrame:
+    """Rows per group (non-NULL group and item): (group, _m).
+
+    An upper bound of the distinct items per group, computed straight from the
+    input, so its stage runs next to the de-duplication instead of after it.
+    Its row count is the number of groups.
+    """
+    rows = df.where(F.col(group_col).isNotNull() & F.col(item_col).isNotNull())
+    return rows.groupBy(group_col).agg(F.count(F.lit(1)).alias("_m"))
+
+
 def _with_chunks(
     memb: DataFrame,
     group_col: str,
@@ -77,7 +88,11 @@ def _with_chunks(
     tile_rows: int | None,
     sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``_nt`` (chunks of the group) and ``_c`` (this row's chunk)."""
+    """Add ``_nt`` (chunks of the group) and ``_c`` (this row's chunk).
+
+    ``sizes`` (group, _m) may over-count a group's distinct items (see
+    :func:`row_counts`); that only gives it more, smaller tiles.
+    """
     if tile_rows is None:
         return memb.withColumn("_nt", F.lit(1)).withColumn("_c", F.lit(0))
     sizes = sizes if sizes is not None else member_counts(memb, group_col)
@@ -120,7 +135,12 @@ def pair_rows(
         F.explode(span).alias("_ci"),
         F.col("_c").alias("_cj"),
     )
-    joined = left.join(right, on=["_g", "_ci", "_cj"], how="inner").where(F.col(a_col) < F.col(b_col))
+    # Both sides are the member table, which grows with the data: never
+    # broadcast it (AQE would, below the threshold, through the driver).  A
+    # sort-merge join spills instead of failing when a partition is large.
+    joined = left.join(right.hint("merge"), on=["_g", "_ci", "_cj"], how="inner").where(
+        F.col(a_col) < F.col(b_col)
+    )
     return joined.select(
         F.col("_g").alias(group_col),
         a_col,
@@ -129,16 +149,36 @@ def pair_rows(
     )
 
 
-def mirror(pairs: DataFrame, a_col: str, b_col: str, rest: list[str]) -> DataFrame:
-    """Both directions of every a < b row, in one pass (no union, no rescan)."""
-    cols = [F.col(c) for c in rest]
+def mirror(
+    pairs: DataFrame,
+    a_col: str,
+    b_col: str,
+    rest: list[str],
+    swap: list[tuple[str, str]] = (),
+) -> DataFrame:
+    """Both directions of every a < b row, in one pass (no union, no rescan).
+
+    ``rest`` columns are copied as they are (symmetric values); each pair in
+    ``swap`` (say the two item frequencies) trades places in the b -> a row.
+    """
+    same = [F.col(c) for c in rest]
+    fwd = [F.col(x).alias(x) for pair in swap for x in pair]
+    bwd = [F.col(y).alias(x) for x, y in swap] + [F.col(x).alias(y) for x, y in swap]
     both = F.array(
-        F.struct(F.col(a_col).alias(a_col), F.col(b_col).alias(b_col), *cols),
-        F.struct(F.col(b_col).alias(a_col), F.col(a_col).alias(b_col), *cols),
+        F.struct(F.col(a_col).alias(a_col), F.col(b_col).alias(b_col), *same, *fwd),
+        F.struct(F.col(b_col).alias(a_col), F.col(a_col).alias(b_col), *same, *bwd),
     )
     return pairs.select(F.inline(both))
 
 
+def item_stats(memb: DataFrame, item_col: str) -> DataFrame:
+    """Per item: ``freq`` = sum of weights and ``freq_sq`` = sum of squared
+    weights (the bag-form diagonal), in one aggregate."""
+    return memb.groupBy(item_col).agg(
+        F.sum("_w").alias("freq"), F.sum(F.col("_w") * F.col("_w")).alias("freq_sq")
+    )
+
+
 def pair_counts(
     df: DataFrame,
     group_col: str,
@@ -162,6 +202,8 @@ def pair_counts(
     holding a, or the sum of squared repeats in bag form).
     """
     memb = memb if memb is not None else members(df, group_col, item_col, dedupe)
+    if sizes is None and tile_rows is not None:
+        sizes = row_counts(df, group_col, item_col)
     rows = pair_rows(memb, group_col, item_col, tile_rows=tile_rows, a_col=a_col, b_col=b_col, sizes=sizes)
     agg = F.count(F.lit(1)) if dedupe else F.sum("_w")
     counts = rows.groupBy(a_col, b_col).agg(agg.alias(count_col))

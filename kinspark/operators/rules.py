@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinspark.functions.measures import confidence, lift
 from kinspark.operators.baskets import _n_col
-from kinspark.operators.pairs import DEFAULT_TILE_ROWS, item_totals, member_counts, members, pair_counts
+from kinspark.operators.pairs import DEFAULT_TILE_ROWS, item_totals, members, mirror, pair_counts, row_counts
 
 RULE_COLUMNS = ["antecedent", "consequent", "ant_support", "cons_support", "support", "confidence", "lift"]
 METRICS = ("support", "confidence", "lift")
@@ -35,15 +35,16 @@ def association_rules(
     """
     memb = members(flat, trans_col, item_col, dedupe)
     # one per-basket size table serves both N and the hot-basket check
-    sizes = member_counts(memb, trans_col)
+    sizes = row_counts(flat, trans_col, item_col)
     n = sizes.select(F.count(F.lit(1))).scalar() if n_baskets is None else _n_col(flat, trans_col, n_baskets)
     freq = item_totals(memb, item_col, "freq")
-    pairs = pair_counts(
+    # counts for a < b only; frequencies are joined to this half, then mirrored
+    half = pair_counts(
         flat,
         trans_col,
         item_col,
         dedupe=dedupe,
-        ordered=True,
+        ordered=False,
         tile_rows=tile_rows,
         a_col="antecedent",
         b_col="consequent",
@@ -52,14 +53,15 @@ def association_rules(
         sizes=sizes,
     )
     if min_support is not None:
-        pairs = pairs.where(F.col("_n").cast("double") / n >= F.lit(float(min_support)))
+        half = half.where(F.col("_n").cast("double") / n >= F.lit(float(min_support)))
     ant = freq.select(F.col(item_col).alias("antecedent"), F.col("freq").alias("_fa"))
     cons = freq.select(F.col(item_col).alias("consequent"), F.col("freq").alias("_fb"))
-    joined = pairs.join(ant, "antecedent").join(cons, "consequent")
+    joined = half.join(ant, "antecedent").join(cons, "consequent")
+    both = mirror(joined, "antecedent", "consequent", ["_n"], swap=[("_fa", "_fb")])
     sup = F.col("_n").cast("double") / n
     ant_sup = F.col("_fa").cast("double") / n
     cons_sup = F.col("_fb").cast("double") / n
-    return joined.select(
+    return both.select(
         "antecedent",
         "consequent",
         ant_sup.alias("ant_support"),

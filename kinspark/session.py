@@ -26,9 +26,17 @@ LOCAL_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", app: str = "kinspark", **extra: str) -> SparkSession:
-    """Local session for tests and the bench (never used by operators)."""
+def local_session(
+    cores: int | str = "*", app: str = "kinspark", memory: str | None = None, **extra: str
+) -> SparkSession:
+    """Local session for tests and the bench (never used by operators).
+
+    In local mode the driver JVM runs every task, so its heap is the only
+    memory setting that matters (default: $KINSPARK_DRIVER_MEMORY or 8g).
+    """
+    memory = memory or os.environ.get("KINSPARK_DRIVER_MEMORY", "8g")
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
+    builder = builder.config("spark.driver.memory", memory)
     for key, value in {**LOCAL_CONF, **extra}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
