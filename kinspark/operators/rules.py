@@ -52,6 +52,25 @@ def association_rules(
         memb=memb,
         sizes=sizes,
     )
+    return rules_from_counts(half, freq, n, item_col=item_col, min_support=min_support)
+
+
+def rules_from_counts(
+    half: DataFrame,
+    freq: DataFrame,
+    n: int | Column,
+    *,
+    item_col: str = "item",
+    min_support: float | None = None,
+) -> DataFrame:
+    """Rules from pair counts (antecedent < consequent, ``_n``), item
+    frequencies (item, ``freq``) and the basket count ``n``.
+
+    Frequencies are joined to the a < b half, then rows are mirrored; support
+    and lift are symmetric, confidence is computed per direction.  Shared by
+    the batch operator and the streaming totals.
+    """
+    n = n if isinstance(n, Column) else F.lit(int(n))
     if min_support is not None:
         half = half.where(F.col("_n").cast("double") / n >= F.lit(float(min_support)))
     ant = freq.select(F.col(item_col).alias("antecedent"), F.col("freq").alias("_fa"))

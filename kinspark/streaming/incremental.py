@@ -1,0 +1,85 @@
+"""Rule counts maintained over a stream of basket files.
+
+Pair counts, item frequencies and the basket count are sums over baskets, so
+the counts of each micro-batch can be stored and added up later.  Each batch
+runs the batch operators (same tiling, same pre-aggregation) through
+``foreachBatch`` and overwrites its own ``batch_id`` partition, so a batch
+replayed after a failure replaces its earlier output instead of adding to
+it.  Progress lives in the query's checkpoint location.
+
+A basket must arrive whole within one micro-batch (for files: a basket does
+not span files), otherwise its pairs across batches are never formed.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from kinspark.operators.pairs import DEFAULT_TILE_ROWS, item_totals, members, pair_counts, row_counts
+from kinspark.operators.rules import rules_from_counts
+
+
+def _write_part(df: DataFrame, path: str, batch_id: int) -> None:
+    (
+        df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .parquet(path)
+    )
+
+
+def start_rule_counts(
+    baskets: DataFrame,
+    out_dir: str,
+    checkpoint: str,
+    trans_col: str = "trans_id",
+    item_col: str = "item",
+    *,
+    dedupe: bool = True,
+    tile_rows: int | None = DEFAULT_TILE_ROWS,
+    available_now: bool = True,
+    processing_time: str | None = None,
+) -> StreamingQuery:
+    """Start a query appending per-batch counts under ``out_dir``:
+    ``pairs`` (antecedent < consequent, _n), ``items`` (item, freq) and
+    ``baskets`` (n)."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        memb = members(batch, trans_col, item_col, dedupe)
+        half = pair_counts(
+            batch,
+            trans_col,
+            item_col,
+            dedupe=dedupe,
+            ordered=False,
+            tile_rows=tile_rows,
+            a_col="antecedent",
+            b_col="consequent",
+            count_col="_n",
+            memb=memb,
+        )
+        _write_part(half, f"{out_dir}/pairs", batch_id)
+        _write_part(item_totals(memb, item_col, "freq"), f"{out_dir}/items", batch_id)
+        _write_part(row_counts(batch, trans_col, item_col).agg(F.count(F.lit(1)).alias("n")), f"{out_dir}/baskets", batch_id)
+
+    writer = baskets.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    if processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    elif available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def rules_from_stream_counts(spark: SparkSession, out_dir: str, item_col: str = "item") -> DataFrame:
+    """Rules over everything counted so far (sums of the per-batch counts)."""
+    half = (
+        spark.read.parquet(f"{out_dir}/pairs")
+        .groupBy("antecedent", "consequent")
+        .agg(F.sum("_n").alias("_n"))
+    )
+    freq = spark.read.parquet(f"{out_dir}/items").groupBy(item_col).agg(F.sum("freq").alias("freq"))
+    n = spark.read.parquet(f"{out_dir}/baskets").select(F.sum("n")).scalar()
+    return rules_from_counts(half, freq, n, item_col=item_col)
