@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinspark.operators.pairs import DEFAULT_TILE_ROWS, members, mirror, pair_counts, pair_rows
+from kinspark.operators.pairs import DEFAULT_TILE_ROWS, mirror, pair_counts, pair_rows, split_members
 
 
 def flatten_baskets(
@@ -85,8 +85,8 @@ def basket_pairs(
     product of the two repeat counts in bag form (the self-join's rows,
     collapsed).  Self pairs are excluded by value.
     """
-    memb = members(flat, trans_col, item_col, dedupe)
-    rows = pair_rows(memb, trans_col, item_col, tile_rows=tile_rows, a_col="antecedent", b_col="consequent")
+    memb = split_members(flat, trans_col, item_col, dedupe, tile_rows)
+    rows = pair_rows(memb, trans_col, item_col, a_col="antecedent", b_col="consequent")
     rows = rows.select(trans_col, "antecedent", "consequent", F.col("_w").alias("n"))
     return mirror(rows, "antecedent", "consequent", [trans_col, "n"]).select(
         trans_col, "antecedent", "consequent", "n"

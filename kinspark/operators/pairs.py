@@ -31,6 +31,8 @@ shuffle join otherwise.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +46,12 @@ def group_sizes(df: DataFrame, group_col: str, size_col: str = "size") -> DataFr
     return df.groupBy(group_col).agg(F.count(F.lit(1)).alias(size_col))
 
 
+def _weigh(rows: DataFrame, keys: list[str], dedupe: bool) -> DataFrame:
+    if dedupe:
+        return rows.select(*keys).distinct().withColumn("_w", F.lit(1).cast("long"))
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_w"))
+
+
 def members(df: DataFrame, group_col: str, item_col: str, dedupe: bool = True) -> DataFrame:
     """One row per (group, item) with weight ``_w``.
 
@@ -54,9 +62,7 @@ def members(df: DataFrame, group_col: str, item_col: str, dedupe: bool = True) -
     rows = df.select(group_col, item_col).where(
         F.col(group_col).isNotNull() & F.col(item_col).isNotNull()
     )
-    if dedupe:
-        return rows.distinct().withColumn("_w", F.lit(1).cast("long"))
-    return rows.groupBy(group_col, item_col).agg(F.count(F.lit(1)).alias("_w"))
+    return _weigh(rows, [group_col, item_col], dedupe)
 
 
 def item_totals(memb: DataFrame, item_col: str, total_col: str = "freq", square: bool = False) -> DataFrame:
@@ -73,80 +79,105 @@ def member_counts(memb: DataFrame, group_col: str) -> DataFrame:
 def row_counts(df: DataFrame, group_col: str, item_col: str) -> DataFrame:
     """Rows per group (non-NULL group and item): (group, _m).
 
-    An upper bound of the distinct items per group, computed straight from the
-    input, so its stage runs next to the de-duplication instead of after it.
-    Its row count is the number of groups.
+    An upper bound of the distinct items per group, taken straight from the
+    input with a partial aggregate (one row per group is shuffled).  Its row
+    count is the number of groups.
     """
     rows = df.where(F.col(group_col).isNotNull() & F.col(item_col).isNotNull())
     return rows.groupBy(group_col).agg(F.count(F.lit(1)).alias("_m"))
 
 
-def _with_chunks(
-    memb: DataFrame,
+@dataclass
+class Members:
+    """(group, item, _w) rows, split by group size.
+
+    ``normal``: groups with at most ``tile_rows`` rows, hash-partitioned by
+    the group (one shuffle of the input; de-duplication and the self-join
+    reuse that partitioning).  ``hot``: the larger groups with their chunk
+    count ``_nt``, de-duplicated on (group, item), which spreads them.
+    """
+
+    normal: DataFrame
+    hot: DataFrame | None
+
+    def all(self) -> DataFrame:
+        if self.hot is None:
+            return self.normal
+        return self.normal.unionByName(self.hot.drop("_nt"))
+
+
+def split_members(
+    df: DataFrame,
     group_col: str,
     item_col: str,
-    tile_rows: int | None,
+    dedupe: bool = True,
+    tile_rows: int | None = DEFAULT_TILE_ROWS,
     sizes: DataFrame | None = None,
-) -> DataFrame:
-    """Add ``_nt`` (chunks of the group) and ``_c`` (this row's chunk).
+) -> Members:
+    """Members of ordinary and of hot groups (see :class:`Members`).
 
-    ``sizes`` (group, _m) may over-count a group's distinct items (see
-    :func:`row_counts`); that only gives it more, smaller tiles.
+    ``sizes`` (group, _m) defaults to :func:`row_counts`; it may over-count a
+    group's distinct items, which only gives that group more, smaller tiles.
+    The hot-group table has at most rows / tile_rows entries.
     """
+    rows = df.select(group_col, item_col).where(
+        F.col(group_col).isNotNull() & F.col(item_col).isNotNull()
+    )
+    keys = [group_col, item_col]
     if tile_rows is None:
-        return memb.withColumn("_nt", F.lit(1)).withColumn("_c", F.lit(0))
-    sizes = sizes if sizes is not None else member_counts(memb, group_col)
-    hot = (
-        sizes.where(F.col("_m") > F.lit(tile_rows))
-        .select(group_col, F.ceil(F.col("_m") / F.lit(tile_rows)).cast("int").alias("_nt"))
+        return Members(_weigh(rows.repartition(group_col), keys, dedupe), None)
+    sizes = sizes if sizes is not None else row_counts(df, group_col, item_col)
+    hot_groups = sizes.where(F.col("_m") > F.lit(tile_rows)).select(
+        group_col, F.ceil(F.col("_m") / F.lit(tile_rows)).cast("int").alias("_nt")
     )
-    out = memb.join(hot, on=group_col, how="left").withColumn("_nt", F.coalesce(F.col("_nt"), F.lit(1)))
-    return out.withColumn("_c", F.pmod(F.xxhash64(F.col(item_col)), F.col("_nt")).cast("int"))
+    tagged = rows.join(hot_groups, on=group_col, how="left")
+    normal = tagged.where(F.col("_nt").isNull()).select(*keys).repartition(group_col)
+    hot = tagged.where(F.col("_nt").isNotNull())
+    return Members(_weigh(normal, keys, dedupe), _weigh(hot, [*keys, "_nt"], dedupe))
 
 
 def pair_rows(
-    memb: DataFrame,
+    m: Members,
     group_col: str,
     item_col: str,
     *,
-    tile_rows: int | None = DEFAULT_TILE_ROWS,
     a_col: str = "item_a",
     b_col: str = "item_b",
-    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """(group, a, b, w) for every a < b in the same group; w = w_a * w_b.
 
-    This is the tiled self-join; callers aggregate it straight away.
-    ``sizes`` may pass a precomputed :func:`member_counts` table.
+    Ordinary groups: a self-join on the group over the already co-partitioned
+    member table (no further shuffle).  Hot groups: the tiled join on
+    (group, chunk_left, chunk_right).  Both sides are member tables, which
+    grow with the data: they are never broadcast (AQE would, below its
+    threshold, through the driver); a sort-merge join spills instead of
+    failing when a partition is large.
     """
-    chunked = _with_chunks(memb, group_col, item_col, tile_rows, sizes)
+    left = m.normal.select(F.col(group_col).alias("_g"), F.col(item_col).alias(a_col), F.col("_w").alias("_wa"))
+    right = m.normal.select(F.col(group_col).alias("_g"), F.col(item_col).alias(b_col), F.col("_w").alias("_wb"))
+    out = left.join(right.hint("merge"), on="_g").where(F.col(a_col) < F.col(b_col))
+    out = out.select(F.col("_g").alias(group_col), a_col, b_col, (F.col("_wa") * F.col("_wb")).alias("_w"))
+    if m.hot is None:
+        return out
+    chunked = m.hot.withColumn("_c", F.pmod(F.xxhash64(F.col(item_col)), F.col("_nt")).cast("int"))
     span = F.sequence(F.lit(0), F.col("_nt") - 1)
-    left = chunked.select(
+    hl = chunked.select(
         F.col(group_col).alias("_g"),
         F.col(item_col).alias(a_col),
         F.col("_w").alias("_wa"),
         F.col("_c").alias("_ci"),
         F.explode(span).alias("_cj"),
     )
-    right = chunked.select(
+    hr = chunked.select(
         F.col(group_col).alias("_g"),
         F.col(item_col).alias(b_col),
         F.col("_w").alias("_wb"),
         F.explode(span).alias("_ci"),
         F.col("_c").alias("_cj"),
     )
-    # Both sides are the member table, which grows with the data: never
-    # broadcast it (AQE would, below the threshold, through the driver).  A
-    # sort-merge join spills instead of failing when a partition is large.
-    joined = left.join(right.hint("merge"), on=["_g", "_ci", "_cj"], how="inner").where(
-        F.col(a_col) < F.col(b_col)
-    )
-    return joined.select(
-        F.col("_g").alias(group_col),
-        a_col,
-        b_col,
-        (F.col("_wa") * F.col("_wb")).alias("_w"),
-    )
+    tiles = hl.join(hr.hint("merge"), on=["_g", "_ci", "_cj"]).where(F.col(a_col) < F.col(b_col))
+    tiles = tiles.select(F.col("_g").alias(group_col), a_col, b_col, (F.col("_wa") * F.col("_wb")).alias("_w"))
+    return out.unionByName(tiles)
 
 
 def mirror(
@@ -191,7 +222,7 @@ def pair_counts(
     a_col: str = "item_a",
     b_col: str = "item_b",
     count_col: str = "n",
-    memb: DataFrame | None = None,
+    memb: Members | None = None,
     sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Groups holding both items, per item pair: (a, b, n).
@@ -199,18 +230,17 @@ def pair_counts(
     ``dedupe``: set semantics (default) or bag semantics, where an item
     repeated k times in a group counts k times.  ``ordered``: emit (a, b) and
     (b, a); otherwise only a < b.  ``diagonal``: add (a, a) rows (groups
-    holding a, or the sum of squared repeats in bag form).
+    holding a, or the sum of squared repeats in bag form).  ``memb`` may pass
+    a :func:`split_members` result shared with other outputs.
     """
-    memb = memb if memb is not None else members(df, group_col, item_col, dedupe)
-    if sizes is None and tile_rows is not None:
-        sizes = row_counts(df, group_col, item_col)
-    rows = pair_rows(memb, group_col, item_col, tile_rows=tile_rows, a_col=a_col, b_col=b_col, sizes=sizes)
+    memb = memb if memb is not None else split_members(df, group_col, item_col, dedupe, tile_rows, sizes)
+    rows = pair_rows(memb, group_col, item_col, a_col=a_col, b_col=b_col)
     agg = F.count(F.lit(1)) if dedupe else F.sum("_w")
     counts = rows.groupBy(a_col, b_col).agg(agg.alias(count_col))
     if ordered:
         counts = mirror(counts, a_col, b_col, [count_col])
     if diagonal:
-        diag = item_totals(memb, item_col, count_col, square=not dedupe).select(
+        diag = item_totals(memb.all(), item_col, count_col, square=not dedupe).select(
             F.col(item_col).alias(a_col), F.col(item_col).alias(b_col), F.col(count_col)
         )
         counts = counts.unionByName(diag)

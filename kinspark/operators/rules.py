@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinspark.functions.measures import confidence, lift
 from kinspark.operators.baskets import _n_col
-from kinspark.operators.pairs import DEFAULT_TILE_ROWS, item_totals, members, mirror, pair_counts, row_counts
+from kinspark.operators.pairs import DEFAULT_TILE_ROWS, item_totals, mirror, pair_counts, row_counts, split_members
 
 RULE_COLUMNS = ["antecedent", "consequent", "ant_support", "cons_support", "support", "confidence", "lift"]
 METRICS = ("support", "confidence", "lift")
@@ -33,11 +33,11 @@ def association_rules(
     ``min_support`` (off by default) filters on the pair count before the
     support joins.
     """
-    memb = members(flat, trans_col, item_col, dedupe)
     # one per-basket size table serves both N and the hot-basket check
     sizes = row_counts(flat, trans_col, item_col)
     n = sizes.select(F.count(F.lit(1))).scalar() if n_baskets is None else _n_col(flat, trans_col, n_baskets)
-    freq = item_totals(memb, item_col, "freq")
+    memb = split_members(flat, trans_col, item_col, dedupe, tile_rows, sizes)
+    freq = item_totals(memb.all(), item_col, "freq")
     # counts for a < b only; frequencies are joined to this half, then mirrored
     half = pair_counts(
         flat,
@@ -50,7 +50,6 @@ def association_rules(
         b_col="consequent",
         count_col="_n",
         memb=memb,
-        sizes=sizes,
     )
     return rules_from_counts(half, freq, n, item_col=item_col, min_support=min_support)
 

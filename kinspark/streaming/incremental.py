@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from kinspark.operators.pairs import DEFAULT_TILE_ROWS, item_totals, members, pair_counts, row_counts
+from kinspark.operators.pairs import DEFAULT_TILE_ROWS, item_totals, pair_counts, row_counts, split_members
 from kinspark.operators.rules import rules_from_counts
 
 
@@ -48,7 +48,7 @@ def start_rule_counts(
     ``baskets`` (n)."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        memb = members(batch, trans_col, item_col, dedupe)
+        memb = split_members(batch, trans_col, item_col, dedupe, tile_rows)
         half = pair_counts(
             batch,
             trans_col,
@@ -62,7 +62,7 @@ def start_rule_counts(
             memb=memb,
         )
         _write_part(half, f"{out_dir}/pairs", batch_id)
-        _write_part(item_totals(memb, item_col, "freq"), f"{out_dir}/items", batch_id)
+        _write_part(item_totals(memb.all(), item_col, "freq"), f"{out_dir}/items", batch_id)
         _write_part(row_counts(batch, trans_col, item_col).agg(F.count(F.lit(1)).alias("n")), f"{out_dir}/baskets", batch_id)
 
     writer = baskets.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
