@@ -6,6 +6,11 @@ Integer parts are combined first and cast once, in the same order as the
 documented formulas, so results are bit-equal to a SQL engine doing the
 same arithmetic.  A zero denominator gives 0.0 (an empty set has no
 similarity) instead of raising under ANSI mode.
+
+Arguments are Spark SQL expressions (usually column names).  Each measure
+is one SQL expression string, parsed once by Spark, so building a plan with
+many scores costs few round trips to the JVM.  The ``*_sql`` functions give
+the text, the plain names wrap it in a Column.
 """
 
 from __future__ import annotations
@@ -14,52 +19,78 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _c(x) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+def _d(x: str) -> str:
+    return f"CAST({x} AS DOUBLE)"
 
 
-def ratio(num, den) -> Column:
+def ratio_sql(num: str, den: str) -> str:
     """num / den in double; 0.0 where den is 0."""
-    num, den = _c(num), _c(den)
-    return F.when(den != 0, num.cast("double") / den.cast("double")).otherwise(F.lit(0.0))
+    return f"CASE WHEN ({den}) <> 0 THEN {_d(num)} / {_d(den)} ELSE 0.0D END"
 
 
-def jaccard(m11, fa, fb) -> Column:
+def jaccard_sql(m11: str, fa: str, fb: str) -> str:
     """|A n B| / |A u B| = m11 / (m10 + m11 + m01)."""
-    m11, fa, fb = _c(m11), _c(fa), _c(fb)
-    return ratio(m11, (fa - m11) + m11 + (fb - m11))
+    return ratio_sql(m11, f"(({fa}) - ({m11})) + ({m11}) + (({fb}) - ({m11}))")
 
 
-def euclid(m11, fa, fb) -> Column:
+def euclid_sql(m11: str, fa: str, fb: str) -> str:
     """1 / (1 + sqrt(m10 + m01)): Euclidean distance of binary vectors, as a similarity."""
-    m11, fa, fb = _c(m11), _c(fa), _c(fb)
-    dist = F.sqrt(((fa - m11) + (fb - m11)).cast("double"))
-    return F.lit(1.0) / (F.lit(1.0) + dist)
+    return f"1.0D / (1.0D + SQRT({_d(f'(({fa}) - ({m11})) + (({fb}) - ({m11}))')}))"
 
 
-def cosine(m11, fa, fb) -> Column:
+def cosine_sql(m11: str, fa: str, fb: str) -> str:
     """m11 / (sqrt(|A|) * sqrt(|B|))."""
-    m11, fa, fb = _c(m11), _c(fa), _c(fb)
-    den = F.sqrt(fa.cast("double")) * F.sqrt(fb.cast("double"))
-    return F.when(den != 0, m11.cast("double") / den).otherwise(F.lit(0.0))
+    den = f"(SQRT({_d(fa)}) * SQRT({_d(fb)}))"
+    return f"CASE WHEN {den} <> 0 THEN {_d(m11)} / {den} ELSE 0.0D END"
 
 
-def containment(m11, fa) -> Column:
+def containment_sql(m11: str, fa: str) -> str:
     """m11 / |A|: share of A found in B (asymmetric)."""
-    return ratio(m11, fa)
+    return ratio_sql(m11, fa)
 
 
-def one_sided_euclid(m11, fa) -> Column:
+def one_sided_euclid_sql(m11: str, fa: str) -> str:
     """1 / (1 + sqrt(|A| - m11)): distance counting only A's missing part."""
-    m11, fa = _c(m11), _c(fa)
-    return F.lit(1.0) / (F.lit(1.0) + F.sqrt((fa - m11).cast("double")))
+    return f"1.0D / (1.0D + SQRT({_d(f'({fa}) - ({m11})')}))"
 
 
-def confidence(support, ant_support) -> Column:
+def confidence_sql(support: str, ant_support: str) -> str:
     """support(a, b) / support(a)."""
-    return _c(support) / _c(ant_support)
+    return f"({support}) / ({ant_support})"
 
 
-def lift(support, ant_support, cons_support) -> Column:
+def lift_sql(support: str, ant_support: str, cons_support: str) -> str:
     """support(a, b) / (support(a) * support(b)), in this operation order."""
-    return _c(support) / (_c(ant_support) * _c(cons_support))
+    return f"({support}) / (({ant_support}) * ({cons_support}))"
+
+
+def ratio(num: str, den: str) -> Column:
+    return F.expr(ratio_sql(num, den))
+
+
+def jaccard(m11: str, fa: str, fb: str) -> Column:
+    return F.expr(jaccard_sql(m11, fa, fb))
+
+
+def euclid(m11: str, fa: str, fb: str) -> Column:
+    return F.expr(euclid_sql(m11, fa, fb))
+
+
+def cosine(m11: str, fa: str, fb: str) -> Column:
+    return F.expr(cosine_sql(m11, fa, fb))
+
+
+def containment(m11: str, fa: str) -> Column:
+    return F.expr(containment_sql(m11, fa))
+
+
+def one_sided_euclid(m11: str, fa: str) -> Column:
+    return F.expr(one_sided_euclid_sql(m11, fa))
+
+
+def confidence(support: str, ant_support: str) -> Column:
+    return F.expr(confidence_sql(support, ant_support))
+
+
+def lift(support: str, ant_support: str, cons_support: str) -> Column:
+    return F.expr(lift_sql(support, ant_support, cons_support))

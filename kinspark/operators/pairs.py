@@ -136,6 +136,11 @@ def split_members(
     return Members(_weigh(normal, keys, dedupe), _weigh(hot, [*keys, "_nt"], dedupe))
 
 
+def _q(name: str) -> str:
+    """Quote a column name for a SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def pair_rows(
     m: Members,
     group_col: str,
@@ -153,30 +158,18 @@ def pair_rows(
     threshold, through the driver); a sort-merge join spills instead of
     failing when a partition is large.
     """
-    left = m.normal.select(F.col(group_col).alias("_g"), F.col(item_col).alias(a_col), F.col("_w").alias("_wa"))
-    right = m.normal.select(F.col(group_col).alias("_g"), F.col(item_col).alias(b_col), F.col("_w").alias("_wb"))
-    out = left.join(right.hint("merge"), on="_g").where(F.col(a_col) < F.col(b_col))
-    out = out.select(F.col("_g").alias(group_col), a_col, b_col, (F.col("_wa") * F.col("_wb")).alias("_w"))
+    g, it, a, b = _q(group_col), _q(item_col), _q(a_col), _q(b_col)
+    out_cols = [f"_g AS {g}", a, b, "_wa * _wb AS _w"]
+    left = m.normal.selectExpr(f"{g} AS _g", f"{it} AS {a}", "_w AS _wa")
+    right = m.normal.selectExpr(f"{g} AS _g", f"{it} AS {b}", "_w AS _wb")
+    out = left.join(right.hint("merge"), on="_g").where(f"{a} < {b}").selectExpr(*out_cols)
     if m.hot is None:
         return out
-    chunked = m.hot.withColumn("_c", F.pmod(F.xxhash64(F.col(item_col)), F.col("_nt")).cast("int"))
-    span = F.sequence(F.lit(0), F.col("_nt") - 1)
-    hl = chunked.select(
-        F.col(group_col).alias("_g"),
-        F.col(item_col).alias(a_col),
-        F.col("_w").alias("_wa"),
-        F.col("_c").alias("_ci"),
-        F.explode(span).alias("_cj"),
-    )
-    hr = chunked.select(
-        F.col(group_col).alias("_g"),
-        F.col(item_col).alias(b_col),
-        F.col("_w").alias("_wb"),
-        F.explode(span).alias("_ci"),
-        F.col("_c").alias("_cj"),
-    )
-    tiles = hl.join(hr.hint("merge"), on=["_g", "_ci", "_cj"]).where(F.col(a_col) < F.col(b_col))
-    tiles = tiles.select(F.col("_g").alias(group_col), a_col, b_col, (F.col("_wa") * F.col("_wb")).alias("_w"))
+    span = "explode(sequence(0, _nt - 1))"
+    chunk = f"CAST(pmod(xxhash64({it}), _nt) AS INT)"
+    hl = m.hot.selectExpr(f"{g} AS _g", f"{it} AS {a}", "_w AS _wa", f"{chunk} AS _ci", f"{span} AS _cj")
+    hr = m.hot.selectExpr(f"{g} AS _g", f"{it} AS {b}", "_w AS _wb", f"{span} AS _ci", f"{chunk} AS _cj")
+    tiles = hl.join(hr.hint("merge"), on=["_g", "_ci", "_cj"]).where(f"{a} < {b}").selectExpr(*out_cols)
     return out.unionByName(tiles)
 
 
@@ -192,14 +185,15 @@ def mirror(
     ``rest`` columns are copied as they are (symmetric values); each pair in
     ``swap`` (say the two item frequencies) trades places in the b -> a row.
     """
-    same = [F.col(c) for c in rest]
-    fwd = [F.col(x).alias(x) for pair in swap for x in pair]
-    bwd = [F.col(y).alias(x) for x, y in swap] + [F.col(x).alias(y) for x, y in swap]
-    both = F.array(
-        F.struct(F.col(a_col).alias(a_col), F.col(b_col).alias(b_col), *same, *fwd),
-        F.struct(F.col(b_col).alias(a_col), F.col(a_col).alias(b_col), *same, *bwd),
-    )
-    return pairs.select(F.inline(both))
+
+    def row(first: str, second: str, swapped: bool) -> str:
+        fields = [(a_col, first), (b_col, second)] + [(c, c) for c in rest]
+        for x, y in swap:
+            fields += [(x, y), (y, x)] if swapped else [(x, x), (y, y)]
+        return "named_struct(" + ", ".join(f"'{name}', {_q(src)}" for name, src in fields) + ")"
+
+    both = f"inline(array({row(a_col, b_col, False)}, {row(b_col, a_col, True)}))"
+    return pairs.selectExpr(both)
 
 
 def item_stats(memb: DataFrame, item_col: str) -> DataFrame:

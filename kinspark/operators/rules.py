@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinspark.functions.measures import confidence, lift
+from kinspark.functions.measures import confidence_sql, lift_sql
 from kinspark.operators.baskets import _n_col
 from kinspark.operators.pairs import DEFAULT_TILE_ROWS, item_totals, mirror, pair_counts, row_counts, split_members
 
@@ -76,17 +76,15 @@ def rules_from_counts(
     cons = freq.select(F.col(item_col).alias("consequent"), F.col("freq").alias("_fb"))
     joined = half.join(ant, "antecedent").join(cons, "consequent")
     both = mirror(joined, "antecedent", "consequent", ["_n"], swap=[("_fa", "_fb")])
-    sup = F.col("_n").cast("double") / n
-    ant_sup = F.col("_fa").cast("double") / n
-    cons_sup = F.col("_fb").cast("double") / n
-    return both.select(
+    sup, ant_sup, cons_sup = (f"CAST({c} AS DOUBLE) / _nbaskets" for c in ("_n", "_fa", "_fb"))
+    return both.select("*", n.alias("_nbaskets")).selectExpr(
         "antecedent",
         "consequent",
-        ant_sup.alias("ant_support"),
-        cons_sup.alias("cons_support"),
-        sup.alias("support"),
-        confidence(sup, ant_sup).alias("confidence"),
-        lift(sup, ant_sup, cons_sup).alias("lift"),
+        f"{ant_sup} AS ant_support",
+        f"{cons_sup} AS cons_support",
+        f"{sup} AS support",
+        f"{confidence_sql(sup, ant_sup)} AS confidence",
+        f"{lift_sql(sup, ant_sup, cons_sup)} AS lift",
     )
 
 
