@@ -13,7 +13,7 @@ plans       end-to-end pipelines and the test views over the driver tables
 streaming   incremental pair counts over a stream of basket files
 """
 
-from kinspark.operators.pairs import group_sizes, pair_counts
+from kinspark.operators.pairs import pair_counts, split_members
 from kinspark.operators.baskets import (
     basket_count,
     basket_pairs,
@@ -24,6 +24,7 @@ from kinspark.operators.baskets import (
 )
 from kinspark.operators.rules import (
     association_rules,
+    rules_from_counts,
     rule_stats,
     rules_per_antecedent,
     rules_with_descriptions,

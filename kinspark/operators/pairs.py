@@ -12,21 +12,27 @@ programs, planned for large, skewed tables:
 * **symmetry**: only a < b is joined and counted, then mirrored with a
   two-element explode -- half the join output and half the shuffle.
   Diagonal counts (a, a) come from the per-item totals, not from the join.
-* **hot groups are tiled**: a group with more than ``tile_rows`` distinct
-  items is cut into ``nt`` chunks by a hash of the item, and the join key
-  becomes (group, chunk_left, chunk_right).  Each of the nt x nt tiles is its
-  own task with at most ~tile_rows^2 candidate pairs, so one basket holding
-  a third of all rows is spread over many tasks instead of one.  Rows of a
-  hot group are replicated nt times per side; ordinary groups have nt = 1
-  and are not replicated.  The chunk is a hash, not a random number, so a
-  recomputed task after an executor loss sees the same assignment.
+* **ordinary groups, one shuffle**: groups with at most ``tile_rows`` rows
+  are hash-partitioned by the group once; de-duplication and the self-join
+  both reuse that partitioning (the two join sides are one reused exchange).
+* **hot groups are tiled**: a group with more than ``tile_rows`` rows is
+  de-duplicated on (group, item), which spreads it, then cut into ``nt``
+  chunks by a hash of the item; the join key becomes (group, chunk_left,
+  chunk_right).  Each of the nt x nt tiles is its own task with at most
+  ~tile_rows^2 candidate pairs, so one basket holding a third of all rows is
+  spread over many tasks instead of one.  Rows of a hot group are replicated
+  nt times per side, a 1 / tile_rows fraction of the pair work it causes
+  anyway.  The chunk is a hash, not a random number, so a recomputed task
+  after an executor loss sees the same assignment.  (AQE's skew-join split
+  is sized by input bytes for linear work and starts at 256 MB; the work
+  here is quadratic, hence the explicit tiles.)
 * **map-side combine**: the pair count is a partial + final hash aggregate;
   the partial step runs in the join's stage, before the shuffle.
 
-The hot-group table holds at most rows / tile_rows entries (each hot group
-has more than tile_rows rows), so its size is bounded by the data; AQE
-broadcasts it when it is under the broadcast threshold and falls back to a
-shuffle join otherwise.
+Which groups are hot comes from one partial aggregate of rows per group.
+That table holds at most rows / tile_rows entries, so its size is bounded
+by the data; AQE broadcasts it when it is under the broadcast threshold and
+falls back to a shuffle join otherwise.
 """
 
 from __future__ import annotations
@@ -36,16 +42,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest number of distinct items a group may have before it is tiled.
+# Largest number of rows a group may have before it is tiled.
 # A tile then holds at most ~tile_rows^2 / 2 candidate pairs (5e7 here).
 DEFAULT_TILE_ROWS = 10_000
 
 
-def group_sizes(df: DataFrame, group_col: str, size_col: str = "size") -> DataFrame:
-    """Rows per group (partial aggregation, no skew problem)."""
-    return df.groupBy(group_col).agg(F.count(F.lit(1)).alias(size_col))
-
-
 def _weigh(rows: DataFrame, keys: list[str], dedupe: bool) -> DataFrame:
     if dedupe:
         return rows.select(*keys).distinct().withColumn("_w", F.lit(1).cast("long"))
@@ -71,11 +72,6 @@ def item_totals(memb: DataFrame, item_col: str, total_col: str = "freq", square:
     return memb.groupBy(item_col).agg(F.sum(w).alias(total_col))
 
 
-def member_counts(memb: DataFrame, group_col: str) -> DataFrame:
-    """Distinct items per group: (group, _m)."""
-    return memb.groupBy(group_col).agg(F.count(F.lit(1)).alias("_m"))
-
-
 def row_counts(df: DataFrame, group_col: str, item_col: str) -> DataFrame:
     """Rows per group (non-NULL group and item): (group, _m).
 
