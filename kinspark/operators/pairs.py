@@ -29,10 +29,11 @@ programs, planned for large, skewed tables:
 * **map-side combine**: the pair count is a partial + final hash aggregate;
   the partial step runs in the join's stage, before the shuffle.
 
-Which groups are hot comes from one partial aggregate of rows per group.
-That table holds at most rows / tile_rows entries, so its size is bounded
-by the data; AQE broadcasts it when it is under the broadcast threshold and
-falls back to a shuffle join otherwise.
+Which groups are hot comes from one partial aggregate of rows per group,
+counted in a small job before the plan is built: with no hot group the
+tiling path is left out entirely; otherwise the hot-group table (at most
+rows / tile_rows entries) is broadcast when its counted size is under
+``HOT_BROADCAST_ROWS`` and shuffle-joined above it.
 """
 
 from __future__ import annotations
@@ -46,6 +47,10 @@ from pyspark.sql import functions as F
 # A tile then holds at most ~tile_rows^2 / 2 candidate pairs (5e7 here).
 DEFAULT_TILE_ROWS = 10_000
 
+# Most hot groups whose (group, chunk count) table is broadcast; above this
+# count it is joined by a shuffle instead (each entry is two numbers).
+HOT_BROADCAST_ROWS = 1_000_000
+
 
 def _weigh(rows: DataFrame, keys: list[str], dedupe: bool) -> DataFrame:
     if dedupe:
@@ -95,6 +100,7 @@ class Members:
 
     normal: DataFrame
     hot: DataFrame | None
+    n_groups: int | None = None  # groups with a non-NULL item, when counted
 
     def all(self) -> DataFrame:
         if self.hot is None:
@@ -102,6 +108,21 @@ class Members:
         return self.normal.unionByName(self.hot.drop("_nt"))
 
 
+def count_groups(sizes: DataFrame, tile_rows: int) -> tuple[int, int]:
+    """(groups, hot groups) from a (group, _m) table: one small aggregate job.
+
+    Its two numbers decide the plan: no tiling path at all when nothing is
+    hot (the usual case), a broadcast of the hot-group table only when the
+    counted size is under ``HOT_BROADCAST_ROWS``, a shuffle join above it.
+    The group count doubles as the basket count N.
+    """
+    row = sizes.agg(
+        F.count(F.lit(1)).alias("groups"),
+        F.count(F.when(F.col("_m") > F.lit(tile_rows), F.lit(1))).alias("hot"),
+    ).first()
+    return int(row["groups"]), int(row["hot"])
+
+
 def split_members(
     df: DataFrame,
     group_col: str,
@@ -114,7 +135,7 @@ def split_members(
 
     ``sizes`` (group, _m) defaults to :func:`row_counts`; it may over-count a
     group's distinct items, which only gives that group more, smaller tiles.
-    The hot-group table has at most rows / tile_rows entries.
+    With ``tile_rows`` set, the groups are counted first (:func:`count_groups`).
     """
     rows = df.select(group_col, item_col).where(
         F.col(group_col).isNotNull() & F.col(item_col).isNotNull()
@@ -123,13 +144,18 @@ def split_members(
     if tile_rows is None:
         return Members(_weigh(rows.repartition(group_col), keys, dedupe), None)
     sizes = sizes if sizes is not None else row_counts(df, group_col, item_col)
+    n_groups, n_hot = count_groups(sizes, tile_rows)
+    if n_hot == 0:
+        return Members(_weigh(rows.repartition(group_col), keys, dedupe), None, n_groups)
     hot_groups = sizes.where(F.col("_m") > F.lit(tile_rows)).select(
         group_col, F.ceil(F.col("_m") / F.lit(tile_rows)).cast("int").alias("_nt")
     )
+    if n_hot <= HOT_BROADCAST_ROWS:
+        hot_groups = F.broadcast(hot_groups)
     tagged = rows.join(hot_groups, on=group_col, how="left")
     normal = tagged.where(F.col("_nt").isNull()).select(*keys).repartition(group_col)
     hot = tagged.where(F.col("_nt").isNotNull())
-    return Members(_weigh(normal, keys, dedupe), _weigh(hot, [*keys, "_nt"], dedupe))
+    return Members(_weigh(normal, keys, dedupe), _weigh(hot, [*keys, "_nt"], dedupe), n_groups)
 
 
 def _q(name: str) -> str:

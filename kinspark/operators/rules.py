@@ -33,10 +33,13 @@ def association_rules(
     ``min_support`` (off by default) filters on the pair count before the
     support joins.
     """
-    # one per-basket size table serves both N and the hot-basket check
-    sizes = row_counts(flat, trans_col, item_col)
-    n = sizes.select(F.count(F.lit(1))).scalar() if n_baskets is None else _n_col(flat, trans_col, n_baskets)
-    memb = split_members(flat, trans_col, item_col, dedupe, tile_rows, sizes)
+    memb = split_members(flat, trans_col, item_col, dedupe, tile_rows)
+    if n_baskets is not None:
+        n = _n_col(flat, trans_col, n_baskets)
+    elif memb.n_groups is not None:
+        n = F.lit(memb.n_groups)  # counted with the hot-basket check
+    else:
+        n = row_counts(flat, trans_col, item_col).select(F.count(F.lit(1))).scalar()
     freq = item_totals(memb.all(), item_col, "freq")
     # counts for a < b only; frequencies are joined to this half, then mirrored
     half = pair_counts(

@@ -186,3 +186,12 @@ def test_rule_lines_layout(listed):
     assert rule_lines(rules).collect()[0].value == (
         "A, B, 0.55, 0.5, 0.2, 0.36363636363636365, 0.7272727272727273"
     )
+
+
+def test_hot_table_above_broadcast_limit(spark, monkeypatch):
+    # more hot groups than the broadcast limit: the hot-group table is shuffle-joined
+    import kinspark.operators.pairs as P
+
+    monkeypatch.setattr(P, "HOT_BROADCAST_ROWS", 0)
+    flat = flat_basket(spark, SF_SMALL)
+    assert _rows(association_rules(flat, tile_rows=2)) == _rows(association_rules(flat, tile_rows=None))
