@@ -7,6 +7,7 @@ row counts, RMSE and MAE, in double precision.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
@@ -55,11 +56,15 @@ def fit_als(
     seed: int = 42,
     cold_start: str = "nan",
     implicit: bool = False,
+    cache_input: bool = True,
 ) -> ALSModel:
     """Explicit-feedback ALS (maxIter 5, regParam 0.01, rank 10 by default).
 
     Lineage of the iterations is cut by Spark ML's own checkpointing into the
-    session's checkpoint dir (every 10 iterations by default).
+    session's checkpoint dir (every 10 iterations by default).  The fit reads
+    its input more than once, so with ``cache_input`` the three used columns
+    are persisted (memory and disk) for the duration of the fit only; the
+    model's factors are kept by Spark ML itself.
     """
     als = ALS(
         rank=rank,
@@ -72,7 +77,13 @@ def fit_als(
         implicitPrefs=implicit,
         seed=seed,
     )
-    return als.fit(train)
+    if not cache_input:
+        return als.fit(train)
+    data = train.select(user_col, item_col, rating_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return als.fit(data)
+    finally:
+        data.unpersist()
 
 
 def predict(model: ALSModel, test: DataFrame) -> DataFrame:
