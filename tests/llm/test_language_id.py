@@ -1,0 +1,79 @@
+import zlib
+from collections import Counter
+
+from kinspark.llm import language_id as L
+
+
+def model_counts(text):
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    padded = [f" {w} " for w in words]
+    out = Counter(w[i : i + n] for w in padded for n in (1, 2, 3) for i in range(len(w) - n + 1))
+    del out[" "]
+    # blanks between words are shared, so a gram that spans a blank is none
+    return out
+
+
+def decode(key):
+    out = ""
+    while key:
+        out = chr(key & ((1 << 21) - 1)) + out
+        key >>= 21
+    return out
+
+
+def test_counts_equal_model(awkward, small_docs):
+    for r in awkward.collect() + small_docs.limit(15).collect():
+        keys, counts = L.ngram_counts(r.text or "")
+        assert {decode(int(k)): int(c) for k, c in zip(keys, counts)} == dict(model_counts(r.text or ""))
+
+
+def test_profiles_and_distance_equal_model(spark, small_docs):
+    train = small_docs.where("doc_id % 3 = 0")
+    rows = L.profiles(train, top=30).collect()
+    totals = {}
+    for r in train.collect():
+        totals.setdefault(r.lang, Counter()).update(model_counts(r.text))
+    order = lambda c: [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], len(x[0]), x[0]))][:30]
+    want = {lang: order(c) for lang, c in totals.items()}
+    got = {lang: [decode(r.gram) for r in sorted((r for r in rows if r.lang == lang), key=lambda r: r.place)] for lang in want}
+    assert got == want
+    table = L.ProfileTable([tuple(r) for r in rows], 30)
+    for r in small_docs.limit(40).collect():
+        own = order(model_counts(r.text))
+        far = {lang: sum(abs(p.index(g) - i) if g in p else 30 for i, g in enumerate(own)) for lang, p in want.items()}
+        best = min(sorted(far), key=far.get)
+        assert table.predict(r.text) == (best, 1 - far[best] / (30 * len(own)))
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lang = {r.doc_id: r.lang for r in docs.collect()}
+    rows = [r for r in L.identify(docs).collect()]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.98 * len(held)
+
+
+def test_awkward_rows(spark, awkward, no_rows):
+    rows = L.identify(awkward).collect()
+    assert len(rows) == awkward.count()
+    none = {r.doc_id for r in awkward.collect() if not any(c.isalpha() for c in r.text or "")}
+    assert {r.doc_id for r in rows if r.lang_pred == "und"} == none
+    assert L.identify(no_rows).collect() == []
+    nothing = spark.createDataFrame([(1, "words here", None)], "doc_id long, text string, lang string")
+    assert [(r.lang_pred, r.score) for r in L.identify(nothing).collect()] == [("und", 0.0)]
+
+
+def test_small_flush_changes_nothing(spark, small_docs, monkeypatch):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"text": [r.text for r in small_docs.limit(30).collect()], "lang": ["a", "b"] * 15})
+    def total():
+        out = Counter()
+        for b in L._count_languages(3)(iter([batch])):
+            for lang, gram, n in zip(*[c.to_pylist() for c in b.columns]):
+                out[lang, gram] += n
+        return out
+    want = total()
+    monkeypatch.setattr(L, "FLUSH", 500)
+    assert total() == want

@@ -1,0 +1,50 @@
+import zlib
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from kinspark.llm import quality_model as Q
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 5), st.floats(0, 1)), min_size=1, max_size=12))
+def test_isotonic_is_the_least_squares_fit(points):
+    n = np.array([float(a) for a, _ in points])
+    y = np.array([b for _, b in points])
+    centre, mean = Q.isotonic(np.arange(len(n), dtype=float), n, n * y)
+    assert (np.diff(mean) > 0).all() and (np.diff(centre) > 0).all()
+    best = [max(min(n[a : b + 1] @ y[a : b + 1] / n[a : b + 1].sum() for b in range(i, len(n))) for a in range(i + 1)) for i in range(len(n))]
+    assert np.allclose(np.unique(np.round(best, 6)), np.unique(np.round(mean, 6)), atol=2e-6)
+
+
+def test_normal_equations_equal_one_pass(spark):
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(200, len(Q.NAMES))), rng.integers(0, 2, 200).astype(float)
+    rows = spark.createDataFrame([(a.tolist(), float(b)) for a, b in zip(x, y)], "x array<double>, y double").repartition(5)
+    model = Q.Model(*Q._moments(rows))
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, x.std(0))
+    a, b = Q._normal_equations(rows, model)
+    z = model.transform(x)
+    assert np.allclose(a, z.T @ z) and np.allclose(b, z.T @ y)
+
+
+def test_held_out_quality(spark):
+    d = "/root/testdata/sf0.1/"
+    labels = spark.read.parquet(d + "labels.parquet")
+    rows = Q.op10_quality_model(spark, d).join(labels, "doc_id").collect()
+    held = [r for r in rows if r.held_out]
+    s, y = np.array([r.score for r in held]), np.array([r.quality for r in held])
+    pos, neg = s[y == 1], s[y == 0]
+    auc = (pos[:, None] > neg[None]).mean() + 0.5 * (pos[:, None] == neg[None]).mean()
+    assert auc > 0.97 and np.mean([r.predicted == r.quality for r in held]) > 0.96
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and r.predicted == int(r.score >= 0.5) and 0 <= r.score <= 1 for r in rows)
+
+
+def test_awkward_rows(spark, awkward, no_rows):
+    labels = spark.createDataFrame([(i, i % 2, None) for i in range(12)] + [(None, 1, None), (2, None, None)], "doc_id long, quality int, h string")
+    rows = Q.score_documents(awkward, labels).collect()
+    assert len(rows) == awkward.count() and all(0 <= r.score <= 1 for r in rows)
+    assert Q.score_documents(no_rows, labels).collect() == []
+    rows = Q.score_documents(awkward, labels.limit(0)).collect()
+    assert {r.score for r in rows} == {0.5}
