@@ -44,7 +44,7 @@ N_BEST = 4
 BYTE_PENALTY = 10.0
 UNIT = 1_000_000
 #: Blocks that a task remembers; when full it starts afresh.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 600_000
 
 _BLOCK = re.compile(f"{SIGN}+[^{SIGN}]*|[^{SIGN}]+")
 
@@ -91,9 +91,13 @@ class Pieces:
                 self.texts[i] = piece
         self.byte_score = round((worst - BYTE_PENALTY) * UNIT)
         self.longest = max(map(len, self.ids))
+        #: Every beginning of a piece; its (score, ids) if it is one, else None.
+        self.prefixes: dict[str, tuple[int, bytes] | None] = {p[:i]: None for p in self.ids for i in range(1, len(p))}
+        self.prefixes |= self.ids
+        self.raw = [b"" if t is None else bytes([t]) if isinstance(t, int) else t.encode() for t in self.texts]
         if any(SIGN in p.lstrip(SIGN) for p in self.ids) or size > 65_535:
             raise ValueError("the vocabulary joins words, or has too many pieces")
-        self.memo: dict[str, tuple[bytes, int, int | None]] = {}
+        self.memo: dict[str, tuple[bytes, int, int | None]] = {}  # what lookup gives
         self.lists: dict[str, list[tuple[int, bytes]]] = {}
 
     def edges(self, block: str) -> list[list[Edge]]:
@@ -137,24 +141,46 @@ class Pieces:
         return out
 
     def lookup(self, block: str) -> tuple[bytes, int, int | None]:
-        """(ids, score, what the second best lacks) of a block; None: there is no second."""
-        edges = self.edges(block)
-        best, last = self.forward(edges)
-        back = [0] * len(edges)  # best score from each node to the end
-        seen = [False] * len(edges)
-        seen[-1] = True
-        for j in range(len(block), 0, -1):
-            for i, score, _ in edges[j]:
-                if seen[j] and (not seen[i] or back[j] + score > back[i]):
-                    back[i], seen[i] = back[j] + score, True
-        node, ids, on = len(block), [], set()
+        """(ids, score, what the second best lacks) of a block; None: there is no second.
+
+        A forward pass that keeps the two best totals of each node.
+        """
+        n, step = len(block), self.prefixes.get
+        best: list[int | None] = [None] * (n + 1)
+        second: list[int | None] = [None] * (n + 1)
+        came: list = [None] * (n + 1)
+        best[0] = 0
+        for i in range(n):
+            here, other, j = best[i], second[i], i + 1
+            piece = step(block[i], False)
+            known = piece is not False
+            if not piece:  # no piece of its own: the bytes of the character
+                raw = block[i].encode()
+                piece = (self.byte_score * len(raw), b"".join([self.bytes[b] for b in raw]))
+            while True:
+                if piece:
+                    score, ids = piece
+                    total, low = here + score, second[j]
+                    if best[j] is None or total > best[j]:
+                        low = best[j]
+                        best[j], came[j] = total, (i, ids)
+                    elif low is None or total > low:
+                        low = total
+                    if other is not None and (low is None or other + score > low):
+                        low = other + score
+                    second[j] = low
+                if not known or j == n:
+                    break
+                j += 1
+                piece = step(block[i:j], False)
+                if piece is False:
+                    break
+        parts, node = [], n
         while node:
-            edge = last[node]
-            on.add((edge[0], node))
-            ids.append(edge[2])
-            node = edge[0]
-        rest = [best[i] + s + back[j] for j in range(1, len(edges)) for i, s, _ in edges[j] if (i, j) not in on]
-        return b"".join(reversed(ids)), best[-1], best[-1] - max(rest) if rest else None
+            node, piece = came[node]
+            parts.append(piece)
+        parts.reverse()
+        return b"".join(parts), best[n], None if second[n] is None else best[n] - second[n]
 
     def blocks(self, text: str) -> list[str]:
         return _BLOCK.findall(SIGN + text.replace(" ", SIGN)) if text else []
@@ -201,7 +227,7 @@ class Pieces:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of a segmentation: pieces joined, byte pieces as UTF-8, without the first sign."""
-        raw = b"".join(bytes([p]) if isinstance(p, int) else p.encode() for p in (self.texts[i] for i in ids))
+        raw = b"".join([self.raw[i] for i in ids.tolist()])
         return raw.decode().replace(SIGN, " ")[1:]
 
 
@@ -238,7 +264,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(model_path, N_BEST)
         for batch in batches:
-            texts = [None if x is None else pieces.decode(x) for x in batch.column(1).to_pylist()]
+            texts = [pieces.decode(x.values.to_numpy()) if x.is_valid else None for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
 
     names = ["doc_id", "ids", "scores"]
@@ -246,14 +272,14 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document encoded, decoded and compared: n_pieces, scores of the n best, hash of the decoded text."""
+    """Every document encoded, decoded and compared: n_pieces and hash of the best ids, scores of the n best, hash of the decoded text."""
     path = default_model_path()
     docs = pick(documents(spark, sf_dir), "doc_id", "text")
     out = decode(encode(docs, path), path)
     return out.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_pieces"),
-        F.md5(F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").cast("binary")).alias("ids_md5"),
+        F.xxhash64("ids").alias("ids_xxhash64"),
         "scores",
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
