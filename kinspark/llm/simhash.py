@@ -204,12 +204,16 @@ def one_per_component(docs: DataFrame, shingle: int = SHINGLE, radius: int = MAX
     Rows that repeat both doc_id and fingerprint leave one.  Among rows without
     an id, each fingerprint of a component that has no id leaves one.
     """
-    stays = components(docs, shingle, radius).where("doc_id <=> component_id").select("doc_id", "fp").distinct()
+    least = components(docs, shingle, radius).where("doc_id <=> component_id").groupBy("doc_id", "fp")
+    stays = stage(least.agg(F.count("*").alias("n")), "staying")
+    repeated = not stays.where("n > 1").isEmpty()
     stays = stays.select(F.col("doc_id").alias("stay_id"), F.col("fp").alias("stay_fp"))
     row = F.struct(*[F.col(c) for c in docs.columns]).alias("source_row")
     texts = with_fingerprint(docs.select("doc_id", F.col("text").cast("string").alias("text"), row))
     same = F.col("doc_id").eqNullSafe(F.col("stay_id")) & (F.col("fp") == F.col("stay_fp"))
-    kept = texts.join(stays, same).dropDuplicates(["doc_id", "fp"])
+    kept = texts.join(stays, same)
+    if repeated:  # without repeated rows there is nothing to drop, and texts need not move again
+        kept = kept.dropDuplicates(["doc_id", "fp"])
     return kept.select("source_row.*")
 
 

@@ -8,12 +8,12 @@ from kinspark.llm import quality_model as Q
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.tuples(st.integers(1, 5), st.floats(0, 1)), min_size=1, max_size=12))
+@given(st.lists(st.tuples(st.integers(1, 5), st.integers(0, 8)), min_size=1, max_size=12))
 def test_isotonic_is_the_least_squares_fit(points):
     n = np.array([float(a) for a, _ in points])
-    y = np.array([b for _, b in points])
+    y = np.array([b / 8 for _, b in points])
     centre, mean = Q.isotonic(np.arange(len(n), dtype=float), n, n * y)
-    assert (np.diff(mean) > 0).all() and (np.diff(centre) > 0).all()
+    assert (np.diff(mean) > -1e-12).all() and (np.diff(centre) > 0).all()
     best = [max(min(n[a : b + 1] @ y[a : b + 1] / n[a : b + 1].sum() for b in range(i, len(n))) for a in range(i + 1)) for i in range(len(n))]
     assert np.allclose(np.unique(np.round(best, 6)), np.unique(np.round(mean, 6)), atol=2e-6)
 
