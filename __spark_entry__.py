@@ -27,7 +27,8 @@ from kinspark.operators import rules as R  # noqa: E402
 from kinspark.plans import pipelines as P  # noqa: E402
 from kinspark.plans import views as V  # noqa: E402
 from kinspark.sources import readers as RD  # noqa: E402
-from kinspark.sources.sinks import rule_lines  # noqa: E402
+from kinspark.session import shared_path, stage  # noqa: E402
+from kinspark.sources.sinks import rule_lines, write_table  # noqa: E402
 
 try:  # the text operators are an optional part
     from kinspark.llm import queries as LLM  # noqa: E402
@@ -36,6 +37,7 @@ except ImportError:
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 TOP_K = 100
+MIN_SCORE = 0.1  # of the item-level content pairs; without a bound they grow with the square of the items
 DIGITS = 9  # rounding of order-dependent double sums (means, RMSE, MAE)
 
 
@@ -87,7 +89,7 @@ def _content_measure(measure):
 
 
 def _content_similarity(spark, d):
-    return CT.content_similarity(V.item_features(spark, d))
+    return CT.content_similarity(V.item_features(spark, d), min_score=MIN_SCORE)
 
 
 def _nonzero_pair_count(spark, d):
@@ -148,16 +150,52 @@ def _eval_counts(spark, d):
 
 
 def _als_eval(spark, d):
-    train, test = _split(spark, d)
-    return P.evaluate_als(V.rating(spark, d), train=train, test=test, seed=42)
+    return P.evaluate_als(V.rating(spark, d), seed=42)
 
 
 def _als_predictions(spark, d):
-    return _als_eval(spark, d).predictions.select("userId", "itemId", "rating", "prediction")
+    cold = F.isnan("prediction").alias("is_cold")
+    return _als_eval(spark, d).predictions.select("userId", "itemId", "rating", cold)
 
 
 def _als_metrics(spark, d):
-    return _als_eval(spark, d).metrics
+    """Row counts, and whether the errors are ones that a fitted model makes (ratings span 0.1 to 5)."""
+    sane = (F.col("mae") <= F.col("rmse")) & (F.col("rmse") < 5)
+    return _als_eval(spark, d).metrics.select("n_rows", "n_valid", sane.alias("sane"))
+
+
+def _builtin_metrics(spark, d):
+    train, test = _split(spark, d)
+    pred = RA.item_mean_predictions(train, test).where("NOT isnan(prediction)")
+    found = RA.evaluate_builtin(stage(pred, "predictions"))
+    return spark.range(1).select(*[F.round(F.lit(v), DIGITS).alias(k) for k, v in found.items()])
+
+
+# --------------------------------------------------------------- sink queries
+
+
+def _rule_lines(spark, d):
+    """Every rule as a text line, and the line's seven fields again."""
+    kinds = ["bigint"] * 2 + ["double"] * 5
+    lines = rule_lines(_rules(spark, d)).select(F.split("value", ", ").alias("f"))
+    return lines.select(*[F.col("f")[i].cast(k).alias(c) for i, (c, k) in enumerate(zip(R.RULE_COLUMNS, kinds))])
+
+
+def _written_table(spark, d):
+    path = shared_path(spark, "written-rules")
+    write_table(_rules(spark, d), path)
+    return spark.read.parquet(path)
+
+
+def _listed_rules(spark, d):
+    return P.basket_rules(V.listed_basket(spark, d), listed=True)
+
+
+def _retail_output(name):
+    def run(spark, d):
+        return getattr(P.retail_rules(stage(V.retail(spark, d), "retail-lines")), name)
+
+    return run
 
 
 # ------------------------------------------------------------- reader queries
@@ -175,6 +213,10 @@ def _retail_lines(spark, d):
     return RD.read_retail_lines(spark, V.retail_csv(spark, d), timestamp_format="yyyy-MM-dd HH:mm:ss")
 
 
+def _retail_naive(spark, d):
+    return RD.read_retail_lines(spark, V.retail_naive_text(spark, d), naive_split=True)
+
+
 def _items(spark, d):
     return RD.read_items(spark, V.items_text(spark, d))
 
@@ -198,7 +240,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "item_features": _items,
         "ratings_implicit": _ratings_implicit,
         "ratings_explicit": _ratings_explicit,
-        "rule_lines": lambda s, d: rule_lines(R.top_rules(_rules(s, d), "support", TOP_K)),
+        "retail_lines_naive": _retail_naive,
+        "rule_lines": _rule_lines,
+        "write_table": _written_table,
         # flattening, joins, counts
         "flatten_baskets": lambda s, d: B.flatten_baskets(V.listed_basket(s, d)),
         "basket_pairs": _basket_pairs,
@@ -206,7 +250,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "item_support": lambda s, d: B.item_support(V.flat_basket(s, d)),
         "basket_count": lambda s, d: B.basket_count(V.flat_basket(s, d)),
         "pair_frequency": lambda s, d: B.pair_frequency(V.flat_basket(s, d)),
+        "item_frequency_bag": lambda s, d: B.item_frequency(V.flat_basket(s, d), dedupe=False),
+        "basket_count_rows": lambda s, d: B.basket_count(V.listed_basket(s, d), by="rows"),
+        "pair_frequency_bag": lambda s, d: B.pair_frequency(V.flat_basket(s, d), dedupe=False),
         # rules
+        "association_rules_tiled": lambda s, d: R.association_rules(V.flat_basket(s, d), tile_rows=3),
+        "basket_rules": lambda s, d: _listed_rules(s, d).rules,
+        "basket_rules_per_antecedent": lambda s, d: _listed_rules(s, d).per_antecedent,
         "association_rules": lambda s, d: _rules(s, d),
         "association_rules_bag": lambda s, d: _rules(s, d, dedupe=False),
         "top_support": lambda s, d: R.top_rules(_rules(s, d), "support", TOP_K),
@@ -215,11 +265,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rules_per_antecedent": lambda s, d: R.rules_per_antecedent(_rules(s, d)),
         "rule_stats": lambda s, d: R.rule_stats(_rules(s, d), mean_digits=DIGITS),
         # retail
-        "retail_summary": lambda s, d: RT.retail_summary(V.retail(s, d)),
+        "retail_summary": lambda s, d: RT.retail_summary(stage(V.retail(s, d), "retail-lines")),
         "distinct_countries": lambda s, d: RT.distinct_countries(V.retail(s, d)),
         "item_catalog": lambda s, d: RT.item_catalog(V.retail(s, d)),
         "rules_with_desc": _rules_with_desc,
         "retail_rules": _retail_rules,
+        "retail_item_support": _retail_output("item_support"),
+        "retail_rules_per_antecedent": _retail_output("per_antecedent"),
+        "retail_rule_stats": lambda s, d: R.rule_stats(_retail_output("rules")(s, d), mean_digits=DIGITS),
         # content similarity
         "feature_vocabulary": lambda s, d: CT.feature_vocabulary(V.item_features(s, d)),
         "item_cross_pairs": lambda s, d: CT.cross_pair_summary(V.item_features(s, d)),
@@ -230,9 +283,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "content_one_sided": _content_measure("one_sided_euclid"),
         "content_cosine": _content_measure("cosine"),
         "content_similarity": _content_similarity,
+        "content_top_k": lambda s, d: CT.content_similarity(V.item_features(s, d), top_k=10),
         # collaborative similarity
         "cooccurrence_count": lambda s, d: CO.cooccurrence_count(V.implicit(s, d)),
         "item_rating_frequency": lambda s, d: CO.item_rating_frequency(V.implicit(s, d)),
+        "cooccurrence_count_bag": lambda s, d: CO.cooccurrence_count(V.implicit(s, d), dedupe=False),
+        "item_rating_frequency_bag": lambda s, d: CO.item_rating_frequency(V.implicit(s, d), dedupe=False),
         "collab_cosine": _collab_measure("cosine"),
         "collab_euclid": _collab_measure("euclid"),
         "collab_jaccard": _collab_measure("jaccard"),
@@ -244,6 +300,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rating_rmse": _rating_rmse,
         "rating_mae": _rating_mae,
         "eval_counts": _eval_counts,
+        "rmse_mae_builtin": _builtin_metrics,
         "als_predictions": _als_predictions,
         "als_metrics": _als_metrics,
     }
@@ -273,6 +330,14 @@ _RULES = _rules_sql(_FLAT_SET, "COUNT(*)")
 _RULES_BAG = _rules_sql(_FLAT_BAG, "COUNT(*)")
 
 
+_STATS = f"""
+SELECT COUNT(*) n_rules,
+       MIN(support) min_support, MAX(support) max_support, ROUND(AVG(support), {DIGITS}) mean_support,
+       MIN(confidence) min_confidence, MAX(confidence) max_confidence, ROUND(AVG(confidence), {DIGITS}) mean_confidence,
+       MIN(lift) min_lift, MAX(lift) max_lift, ROUND(AVG(lift), {DIGITS}) mean_lift
+FROM ({_RULES}) r"""
+
+
 def _top(metric: str) -> str:
     return f"SELECT * FROM ({_RULES}) r ORDER BY {metric} DESC, antecedent, consequent LIMIT {TOP_K}"
 
@@ -378,7 +443,8 @@ SELECT CAST(o_custkey AS INTEGER) "userId", CAST(l_partkey AS INTEGER) "itemId",
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 GROUP BY o_custkey, l_partkey"""
 
-_BUCKET = '((CAST("userId" AS BIGINT) * 1000003 + CAST("itemId" AS BIGINT)) % 10)'
+_HEX = """substr(md5(CAST("userId" AS VARCHAR) || ':' || CAST("itemId" AS VARCHAR)), 1, 8)"""
+_BUCKET = f"(CAST('0x' || {_HEX} AS BIGINT) % 10)"
 
 _ITEM_MEAN = f"""
 WITH r AS ({_RATING}),
@@ -392,7 +458,14 @@ def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for every query that has an exact SQL form."""
     listed = """
 SELECT CAST(l_orderkey AS VARCHAR) trans_id, list_sort(list(CAST(l_partkey AS VARCHAR))) items
-FROM lineitem GROUP BY l_orderkey, (l_linenumber - 1) // 8"""
+FROM lineitem GROUP BY l_orderkey"""
+    listed_rules = f"SELECT * REPLACE (CAST(antecedent AS VARCHAR) AS antecedent, CAST(consequent AS VARCHAR) AS consequent) FROM ({_RULES}) q"
+    train = f'SELECT "userId", "itemId" FROM ({_RATING}) q WHERE {_BUCKET} >= 2'
+    cold = f"""
+WITH r AS ({_RATING}), train AS ({train}), t AS (SELECT * FROM r WHERE {_BUCKET} < 2),
+p AS (SELECT t."userId", t."itemId", t.rating,
+  ("userId" NOT IN (SELECT "userId" FROM train) OR "itemId" NOT IN (SELECT "itemId" FROM train)) AS is_cold FROM t)
+"""
     return {
         **(LLM.oracle_sql() if LLM else {}),
         "listed_baskets": listed,
@@ -401,6 +474,40 @@ FROM lineitem GROUP BY l_orderkey, (l_linenumber - 1) // 8"""
         "item_features": f"SELECT CAST(item AS INTEGER) item, title, features FROM ({_ITEMS}) q",
         "ratings_implicit": f'SELECT "userId" AS "user", "itemId" AS item FROM ({_RATING}) q',
         "ratings_explicit": _RATING,
+        "retail_lines_naive": f"""
+SELECT invoice, stock_code, description, CAST(quantity AS VARCHAR) AS quantity,
+       strftime(invoice_date, '%Y-%m-%d %H:%M:%S') AS invoice_date, CAST(price AS VARCHAR) AS price, customer_id, country
+FROM ({_RETAIL}) q""",
+        "rule_lines": _RULES,
+        "write_table": _RULES,
+        "item_frequency_bag": "SELECT l_partkey item, COUNT(*) freq FROM lineitem GROUP BY l_partkey",
+        "basket_count_rows": f"SELECT COUNT(*) n_baskets FROM ({listed}) q",
+        "pair_frequency_bag": f"""
+WITH f AS ({_FLAT_BAG})
+SELECT a.i AS antecedent, b.i AS consequent, COUNT(*) AS n
+FROM f a JOIN f b ON a.t = b.t AND a.i <> b.i GROUP BY a.i, b.i""",
+        "association_rules_tiled": _RULES,
+        "basket_rules": listed_rules,
+        "basket_rules_per_antecedent": f"SELECT antecedent, COUNT(*) n_rules FROM ({listed_rules}) q GROUP BY antecedent",
+        "retail_item_support": """
+SELECT CAST(l_partkey AS VARCHAR) AS item,
+       CAST(COUNT(DISTINCT l_orderkey) AS DOUBLE) / (SELECT COUNT(DISTINCT l_orderkey) FROM lineitem) AS support
+FROM lineitem GROUP BY l_partkey""",
+        "retail_rules_per_antecedent": f"SELECT antecedent, COUNT(*) n_rules FROM ({listed_rules}) q GROUP BY antecedent",
+        "retail_rule_stats": _STATS,
+        "als_predictions": f"{cold} SELECT * FROM p",
+        "als_metrics": f"{cold} SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE NOT is_cold) AS n_valid, true AS sane FROM p",
+        "rmse_mae_builtin": f"""{_ITEM_MEAN}
+SELECT ROUND(sqrt(AVG(err * err)), {DIGITS}) AS rmse, ROUND(AVG(abs(err)), {DIGITS}) AS mae FROM e
+WHERE err IS NOT NULL AND NOT isnan(err)""",
+        "content_top_k": f"""
+SELECT item_a, item_b, m11, {", ".join(_CS)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_a ORDER BY jaccard DESC, item_b) AS place
+  FROM ({_CONTENT_ITEMS}) q WHERE item_a <> item_b) z WHERE place <= 10""",
+        "cooccurrence_count_bag": f"""
+WITH r AS ({_IMPLICIT})
+SELECT a.i AS item_a, b.i AS item_b, COUNT(*) AS n FROM r a JOIN r b ON a.u = b.u GROUP BY a.i, b.i""",
+        "item_rating_frequency_bag": f"SELECT i AS item, COUNT(*) AS freq FROM ({_IMPLICIT}) z GROUP BY i",
         "flatten_baskets": "SELECT CAST(l_orderkey AS VARCHAR) trans_id, CAST(l_partkey AS VARCHAR) item FROM lineitem",
         "basket_pairs": f"""
 WITH f AS ({_FLAT_BAG})
@@ -421,12 +528,7 @@ FROM f a JOIN f b ON a.t = b.t AND a.i <> b.i GROUP BY a.i, b.i""",
         "top_confidence": _top("confidence"),
         "top_lift": _top("lift"),
         "rules_per_antecedent": f"SELECT antecedent, COUNT(*) n_rules FROM ({_RULES}) r GROUP BY antecedent",
-        "rule_stats": f"""
-SELECT COUNT(*) n_rules,
-       MIN(support) min_support, MAX(support) max_support, ROUND(AVG(support), {DIGITS}) mean_support,
-       MIN(confidence) min_confidence, MAX(confidence) max_confidence, ROUND(AVG(confidence), {DIGITS}) mean_confidence,
-       MIN(lift) min_lift, MAX(lift) max_lift, ROUND(AVG(lift), {DIGITS}) mean_lift
-FROM ({_RULES}) r""",
+        "rule_stats": _STATS,
         "retail_summary": f"""
 SELECT COUNT(*) n_lines, COUNT(DISTINCT invoice) n_invoices, COUNT(DISTINCT stock_code) n_items,
        COUNT(DISTINCT description) n_descriptions, COUNT(DISTINCT customer_id) n_customers
@@ -450,7 +552,7 @@ FROM sp, n GROUP BY n.n""",
         "content_euclid": _content_measure_sql("euclid"),
         "content_one_sided": _content_measure_sql("one_sided_euclid"),
         "content_cosine": _content_measure_sql("cosine"),
-        "content_similarity": _CONTENT_ITEMS,
+        "content_similarity": f"SELECT * FROM ({_CONTENT_ITEMS}) q WHERE jaccard >= {MIN_SCORE}",
         "cooccurrence_count": f"""
 WITH r AS (SELECT DISTINCT u, i FROM ({_IMPLICIT}) z)
 SELECT a.i AS item_a, b.i AS item_b, COUNT(*) AS n FROM r a JOIN r b ON a.u = b.u GROUP BY a.i, b.i""",

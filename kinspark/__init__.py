@@ -2,7 +2,7 @@
 
 Every operator is a function from DataFrame(s) to a DataFrame built from
 Spark SQL expressions (and Spark ML for ALS).  Nothing is collected to the
-driver except single scalars chosen by the caller.
+driver but two counts per pair operator (groups, hot groups), which choose its plan.
 
 Modules
 -------
@@ -10,7 +10,6 @@ sources     readers for basket / item / rating text formats, sinks
 functions   column expressions (Java-style split, similarity measures)
 operators   pair counting, association rules, similarity, ALS, retail
 plans       end-to-end pipelines and the test views over the driver tables
-streaming   incremental pair counts over a stream of basket files
 """
 
 from kinspark.operators.pairs import pair_counts, split_members

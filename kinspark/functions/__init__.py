@@ -2,24 +2,18 @@
 
 from kinspark.functions.text import java_split
 from kinspark.functions.measures import (
-    confidence,
     containment,
     cosine,
     euclid,
     jaccard,
-    lift,
     one_sided_euclid,
-    ratio,
 )
 
 __all__ = [
     "java_split",
-    "ratio",
     "jaccard",
     "euclid",
     "cosine",
     "containment",
     "one_sided_euclid",
-    "confidence",
-    "lift",
 ]

@@ -64,10 +64,6 @@ def lift_sql(support: str, ant_support: str, cons_support: str) -> str:
     return f"({support}) / (({ant_support}) * ({cons_support}))"
 
 
-def ratio(num: str, den: str) -> Column:
-    return F.expr(ratio_sql(num, den))
-
-
 def jaccard(m11: str, fa: str, fb: str) -> Column:
     return F.expr(jaccard_sql(m11, fa, fb))
 
@@ -86,11 +82,3 @@ def containment(m11: str, fa: str) -> Column:
 
 def one_sided_euclid(m11: str, fa: str) -> Column:
     return F.expr(one_sided_euclid_sql(m11, fa))
-
-
-def confidence(support: str, ant_support: str) -> Column:
-    return F.expr(confidence_sql(support, ant_support))
-
-
-def lift(support: str, ant_support: str, cons_support: str) -> Column:
-    return F.expr(lift_sql(support, ant_support, cons_support))

@@ -18,10 +18,11 @@ programs, planned for large, skewed tables:
 * **hot groups are tiled**: a group with more than ``tile_rows`` rows is
   de-duplicated on (group, item), which spreads it, then cut into ``nt``
   chunks by a hash of the item; the join key becomes (group, chunk_left,
-  chunk_right).  Each of the nt x nt tiles is its own task with at most
-  ~tile_rows^2 candidate pairs, so one basket holding a third of all rows is
+  chunk_right) with chunk_left <= chunk_right, so every unordered pair meets
+  in one tile.  Each of the nt (nt + 1) / 2 tiles has at most ~tile_rows^2
+  candidate pairs, so one basket holding a third of all rows is
   spread over many tasks instead of one.  Rows of a hot group are replicated
-  nt times per side, a 1 / tile_rows fraction of the pair work it causes
+  nt + 1 times in all, a 1 / tile_rows fraction of the pair work it causes
   anyway.  The chunk is a hash, not a random number, so a recomputed task
   after an executor loss sees the same assignment.  (AQE's skew-join split
   is sized by input bytes for linear work and starts at 256 MB; the work
@@ -78,14 +79,15 @@ def item_totals(memb: DataFrame, item_col: str, total_col: str = "freq", square:
 
 
 def row_counts(df: DataFrame, group_col: str, item_col: str) -> DataFrame:
-    """Rows per group (non-NULL group and item): (group, _m).
+    """Rows with an item per non-NULL group: (group, _m).
 
     An upper bound of the distinct items per group, taken straight from the
     input with a partial aggregate (one row per group is shuffled).  Its row
-    count is the number of groups.
+    count is the number of groups; a group whose items are all NULL is one,
+    with _m = 0.
     """
-    rows = df.where(F.col(group_col).isNotNull() & F.col(item_col).isNotNull())
-    return rows.groupBy(group_col).agg(F.count(F.lit(1)).alias("_m"))
+    rows = df.where(F.col(group_col).isNotNull())
+    return rows.groupBy(group_col).agg(F.count(F.col(item_col)).alias("_m"))
 
 
 @dataclass
@@ -100,7 +102,7 @@ class Members:
 
     normal: DataFrame
     hot: DataFrame | None
-    n_groups: int | None = None  # groups with a non-NULL item, when counted
+    n_groups: int | None = None  # distinct non-NULL groups, when counted
 
     def all(self) -> DataFrame:
         if self.hot is None:
@@ -187,12 +189,14 @@ def pair_rows(
     out = left.join(right.hint("merge"), on="_g").where(f"{a} < {b}").selectExpr(*out_cols)
     if m.hot is None:
         return out
-    span = "explode(sequence(0, _nt - 1))"
     chunk = f"CAST(pmod(xxhash64({it}), _nt) AS INT)"
-    hl = m.hot.selectExpr(f"{g} AS _g", f"{it} AS {a}", "_w AS _wa", f"{chunk} AS _ci", f"{span} AS _cj")
-    hr = m.hot.selectExpr(f"{g} AS _g", f"{it} AS {b}", "_w AS _wb", f"{span} AS _ci", f"{chunk} AS _cj")
-    tiles = hl.join(hr.hint("merge"), on=["_g", "_ci", "_cj"]).where(f"{a} < {b}").selectExpr(*out_cols)
-    return out.unionByName(tiles)
+    chunked = m.hot.selectExpr(f"{g} AS _g", f"{it} AS _i", "_w", f"{chunk} AS _c", "_nt")
+    low = chunked.selectExpr("_g", "_i AS _x", "_w AS _wa", "_c AS _ci", "explode(sequence(_c, _nt - 1)) AS _cj")
+    high = chunked.selectExpr("_g", "_i AS _y", "_w AS _wb", "explode(sequence(0, _c)) AS _ci", "_c AS _cj")
+    # within a tile of one chunk both sides hold every item; between chunks a pair comes in either order
+    met = low.join(high.hint("merge"), on=["_g", "_ci", "_cj"]).where("_ci < _cj OR _x < _y")
+    tiles = met.selectExpr("_g", f"least(_x, _y) AS {a}", f"greatest(_x, _y) AS {b}", "_wa", "_wb")
+    return out.unionByName(tiles.selectExpr(*out_cols))
 
 
 def mirror(

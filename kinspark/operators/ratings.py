@@ -19,9 +19,12 @@ ALS_REG_PARAM = 0.01
 ALS_RANK = 10
 SPLIT_WEIGHTS = (0.8, 0.2)
 
+ALS_LEAST_BLOCKS = 10  # Spark ML's own default
+
 
 def split_ratings(df: DataFrame, weights=SPLIT_WEIGHTS, seed: int = 42) -> list[DataFrame]:
-    """Random split, seeded so a rerun (or a recomputed task) gives the same parts."""
+    """Random split.  It repeats only if ``df`` comes in the same partitions and order each time, so
+    write df first; :func:`hash_split` has no such condition."""
     return df.randomSplit(list(weights), seed)
 
 
@@ -34,13 +37,13 @@ def hash_split(
 ) -> tuple[DataFrame, DataFrame]:
     """Deterministic (train, test) split on a hash of the (user, item) key.
 
-    Every row lands in exactly one part; bucket = (user * 1000003 + item) mod
-    ``buckets``, test when bucket < ``test_buckets``.  Plain arithmetic, so any
-    SQL engine can repeat it.
+    Every row lands in exactly one part; bucket = the first eight hex digits
+    of md5("user:item") mod ``buckets``, test when bucket < ``test_buckets``.
+    Any SQL engine can repeat it.  A NULL id counts as the text ``null``.
     """
-    bucket = F.pmod(
-        F.col(user_col).cast("bigint") * F.lit(1000003) + F.col(item_col).cast("bigint"), F.lit(buckets)
-    )
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in (user_col, item_col)])
+    digits = F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("bigint")
+    bucket = digits % F.lit(buckets)
     return df.where(bucket >= test_buckets), df.where(bucket < test_buckets)
 
 
@@ -57,16 +60,22 @@ def fit_als(
     cold_start: str = "nan",
     implicit: bool = False,
     cache_input: bool = True,
+    num_blocks: int | None = None,
 ) -> ALSModel:
     """Explicit-feedback ALS (maxIter 5, regParam 0.01, rank 10 by default).
 
-    Lineage of the iterations is cut by Spark ML's own checkpointing into the
-    session's checkpoint dir (every 10 iterations by default).  The fit reads
+    Factors are updated in ``num_blocks`` user and item blocks, one task each
+    (default: the session's parallelism, at least Spark ML's 10).  Spark ML
+    checkpoints every 10 iterations into the session's checkpoint dir, so the
+    default 5 iterations run without a checkpoint.  The fit reads
     its input more than once, so with ``cache_input`` the three used columns
     are persisted (memory and disk) for the duration of the fit only; the
     model's factors are kept by Spark ML itself.
     """
+    blocks = num_blocks or max(ALS_LEAST_BLOCKS, train.sparkSession.sparkContext.defaultParallelism)
     als = ALS(
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
         rank=rank,
         maxIter=max_iter,
         regParam=reg_param,

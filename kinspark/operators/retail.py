@@ -10,13 +10,15 @@ MISSING_DESCRIPTION = "NA"
 
 
 def retail_summary(lines: DataFrame) -> DataFrame:
-    """One row: n_lines and distinct invoices, items, descriptions, customers."""
-    return lines.agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.count_distinct("invoice").alias("n_invoices"),
-        F.count_distinct("stock_code").alias("n_items"),
-        F.count_distinct("description").alias("n_descriptions"),
-        F.count_distinct("customer_id").alias("n_customers"),
+    """One row: n_lines and distinct invoices, items, descriptions, customers.
+
+    A NULL (an empty CSV field) is no description or customer; the original
+    counted the empty string as one.  Each distinct count is a query of its own
+    over one column, so rows are not expanded before the shuffle.
+    """
+    counts = {"n_invoices": "invoice", "n_items": "stock_code", "n_descriptions": "description", "n_customers": "customer_id"}
+    return lines.agg(F.count(F.lit(1)).alias("n_lines")).select(
+        "n_lines", *[lines.select(F.count_distinct(c)).scalar().alias(name) for name, c in counts.items()]
     )
 
 

@@ -27,8 +27,9 @@ def association_rules(
 
     support = n(a, b) / N, confidence = support / support(a),
     lift = support / (support(a) * support(b)).  N defaults to the number of
-    distinct transactions with at least one non-NULL item; pass ``n_baskets`` for the listed-file meaning
-    (lines).  ``dedupe=False`` keeps the bag counts of the original
+    distinct transaction ids, also of those without an item (the same N as
+    ``basket_count`` and ``item_support``); pass ``n_baskets`` for the
+    listed-file meaning (lines).  ``dedupe=False`` keeps the bag counts of the original
     programs, where repeats inflate counts and support can pass 1.
     ``min_support`` (off by default) filters on the pair count before the
     support joins.
@@ -69,8 +70,7 @@ def rules_from_counts(
     frequencies (item, ``freq``) and the basket count ``n``.
 
     Frequencies are joined to the a < b half, then rows are mirrored; support
-    and lift are symmetric, confidence is computed per direction.  Shared by
-    the batch operator and the streaming totals.
+    and lift are symmetric, confidence is computed per direction.
     """
     n = n if isinstance(n, Column) else F.lit(int(n))
     if min_support is not None:

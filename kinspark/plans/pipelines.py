@@ -1,18 +1,20 @@
-"""End-to-end pipelines: retail rules, basket rules, ALS evaluation.
+"""End-to-end pipelines: retail rules, basket rules, similarities, ALS evaluation.
 
-A pipeline that feeds one table into several outputs writes it once and reads
-the written copy back (lineage cut, no recomputation after an executor loss
-and no second evaluation of the quadratic join).
+The ``run_*`` functions write every output under a folder.  A table that feeds
+several outputs (lines, rules, ratings) is written once and read back: lineage is
+cut, and the quadratic join and the joins behind it run once.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinspark.operators.baskets import basket_count_col, flatten_baskets
-from kinspark.operators.ratings import error_metrics, fit_als, predict, split_ratings
+from kinspark.operators.baskets import basket_count_col, flatten_baskets, item_support
+from kinspark.operators.collab import collaborative_similarity
+from kinspark.operators.content import content_similarity
+from kinspark.operators.ratings import error_metrics, fit_als, hash_split, predict
 from kinspark.operators.retail import (
     distinct_countries,
     item_catalog,
@@ -27,38 +29,48 @@ from kinspark.operators.rules import (
     rules_with_descriptions,
     top_rules,
 )
-from kinspark.sources.sinks import rule_lines, write_table
+from kinspark.session import stage
+from kinspark.sources.sinks import rule_lines, to_lines, write_table
 
 TOP_K = 100
 
+FOLDERS = {"catalog": "items_map"}  # outputs whose folder has another name than their field
+
 
 @dataclass
 class RetailRules:
     summary: DataFrame
     countries: DataFrame
     catalog: DataFrame
+    item_support: DataFrame
     rules: DataFrame
     rules_with_descriptions: DataFrame
+    per_antecedent: DataFrame
+    stats: DataFrame
     top_support: DataFrame
     top_confidence: DataFrame
     top_lift: DataFrame
 
 
 def retail_rules(lines: DataFrame, *, dedupe: bool = True, k: int = TOP_K, rules: DataFrame | None = None) -> RetailRules:
-    """Summary, catalogue, rules, descriptions and the three top-k lists.
+    """Summary, catalogue, item support, rules, their statistics, descriptions and the three top-k lists.
 
     Pass ``rules`` to reuse a rule table already written (see
     :func:`run_retail_rules`); otherwise it is planned from ``lines``.
     """
+    baskets = retail_baskets(lines)
     if rules is None:
-        rules = association_rules(retail_baskets(lines), dedupe=dedupe)
+        rules = association_rules(baskets, dedupe=dedupe)
     desc = item_descriptions(lines)
     return RetailRules(
         summary=retail_summary(lines),
         countries=distinct_countries(lines),
         catalog=item_catalog(lines),
+        item_support=item_support(baskets, dedupe=dedupe),
         rules=rules,
         rules_with_descriptions=rules_with_descriptions(rules, desc),
+        per_antecedent=rules_per_antecedent(rules),
+        stats=rule_stats(rules),
         top_support=rules_with_descriptions(top_rules(rules, "support", k), desc),
         top_confidence=rules_with_descriptions(top_rules(rules, "confidence", k), desc),
         top_lift=rules_with_descriptions(top_rules(rules, "lift", k), desc),
@@ -66,17 +78,15 @@ def retail_rules(lines: DataFrame, *, dedupe: bool = True, k: int = TOP_K, rules
 
 
 def run_retail_rules(spark: SparkSession, lines: DataFrame, out_dir: str, *, dedupe: bool = True, fmt: str = "parquet") -> RetailRules:
-    """Write every retail output under ``out_dir``; the rule table first, then
-    everything else from the written copy."""
+    """Write every retail output under ``out_dir``: lines are staged and the rules written first,
+    everything else comes from those copies."""
+    lines = stage(lines, "retail-lines")
     write_table(association_rules(retail_baskets(lines), dedupe=dedupe), f"{out_dir}/rules", fmt="parquet")
-    rules = spark.read.parquet(f"{out_dir}/rules")
-    res = retail_rules(lines, dedupe=dedupe, rules=rules)
-    write_table(res.summary, f"{out_dir}/summary", fmt=fmt)
-    write_table(res.countries, f"{out_dir}/countries", fmt=fmt)
-    write_table(res.catalog, f"{out_dir}/items_map", fmt=fmt)
+    res = retail_rules(lines, dedupe=dedupe, rules=spark.read.parquet(f"{out_dir}/rules"))
     write_table(rule_lines(res.rules_with_descriptions, with_descriptions=True), f"{out_dir}/rules_with_item_desc", fmt="text")
-    for name in ("top_support", "top_confidence", "top_lift"):
-        write_table(getattr(res, name), f"{out_dir}/{name}", fmt=fmt)
+    for f in fields(res):
+        if f.name not in ("rules", "rules_with_descriptions"):
+            write_table(getattr(res, f.name), f"{out_dir}/{FOLDERS.get(f.name, f.name)}", fmt=fmt)
     return res
 
 
@@ -94,22 +104,48 @@ def basket_rules(
     dedupe: bool = True,
     trans_col: str = "trans_id",
     item_col: str = "item",
+    rules: DataFrame | None = None,
 ) -> BasketRules:
     """Rules, rules per antecedent and rule statistics for basket input.
 
     ``listed=True``: rows are (trans_id, items[]) lines, flattened here, and
     N counts lines.  ``listed=False``: rows are (trans_id, item), N counts
-    distinct ids.
+    distinct ids.  Pass ``rules`` to reuse a written rule table (see
+    :func:`run_basket_rules`).
     """
-    if listed:
-        flat = flatten_baskets(baskets, trans_col, "items", item_col)
-        n = basket_count_col(baskets, trans_col, by="rows")
-    else:
-        flat, n = baskets, None
-    rules = association_rules(flat, trans_col, item_col, dedupe=dedupe, n_baskets=n)
+    if rules is None:
+        flat = flatten_baskets(baskets, trans_col, "items", item_col) if listed else baskets
+        n = basket_count_col(baskets, trans_col, by="rows") if listed else None
+        rules = association_rules(flat, trans_col, item_col, dedupe=dedupe, n_baskets=n)
     return BasketRules(rules=rules, per_antecedent=rules_per_antecedent(rules), stats=rule_stats(rules))
 
 
+def run_basket_rules(spark: SparkSession, baskets: DataFrame, out_dir: str, *, listed: bool, fmt: str = "parquet") -> BasketRules:
+    """Write the rules, and from the written copy the rules per antecedent and the statistics."""
+    write_table(basket_rules(baskets, listed=listed).rules, f"{out_dir}/rules")
+    res = basket_rules(baskets, listed=listed, rules=spark.read.parquet(f"{out_dir}/rules"))
+    write_table(res.per_antecedent, f"{out_dir}/per_antecedent", fmt=fmt)
+    write_table(res.stats, f"{out_dir}/stats", fmt=fmt)
+    return res
+
+
+SIMILARITIES = "Similarities"  # Fixed value: the name of the original output folder
+
+
+def run_collaborative_similarities(ratings: DataFrame, out_dir: str, **options) -> DataFrame:
+    """Write item pairs with their collaborative scores as text lines."""
+    lines = to_lines(collaborative_similarity(ratings, **options), ["item_a", "item_b", "jaccard", "euclid", "cosine"])
+    write_table(lines, f"{out_dir}/{SIMILARITIES}", fmt="text")
+    return lines
+
+
+def run_content_similarities(items: DataFrame, out_dir: str, **options) -> DataFrame:
+    """Write item pairs with their content scores as text lines; pass ``min_score`` or ``top_k`` to bound them."""
+    lines = to_lines(content_similarity(items, **options), ["item_a", "item_b", "jaccard", "euclid", "cosine"])
+    write_table(lines, f"{out_dir}/{SIMILARITIES}", fmt="text")
+    return lines
+
+
 @dataclass
 class AlsEvaluation:
     predictions: DataFrame
@@ -124,10 +160,11 @@ def evaluate_als(
     test: DataFrame | None = None,
     **als_params,
 ) -> AlsEvaluation:
-    """Split 80/20 (seeded), fit ALS on the train part, predict the test part,
-    and measure RMSE / MAE over the non-NaN predictions."""
+    """Split 80/20 by a hash of the key, fit ALS on the train part, predict the test part, and
+    measure RMSE / MAE over the non-NaN predictions.  Ratings and predictions are staged, so what
+    is behind them runs once."""
     if train is None or test is None:
-        train, test = split_ratings(ratings, seed=seed)
+        train, test = hash_split(stage(ratings, "ratings"))
     model = fit_als(train, seed=seed, **als_params)
-    pred = predict(model, test)
+    pred = stage(predict(model, test), "predictions")
     return AlsEvaluation(predictions=pred, metrics=error_metrics(pred))

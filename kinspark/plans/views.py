@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 
 from kinspark.session import shared_path, table
 
-# Listed-basket lines hold at most this many items; a longer basket spans
-# several lines with the same id (so no line grows with a basket).
-LISTED_ITEMS_PER_LINE = 8
-
 
 def flat_basket(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(trans_id, item) = (l_orderkey, l_partkey), repeats kept."""
@@ -26,12 +22,10 @@ def flat_basket(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listed_basket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(trans_id string, items array<string>): items of an order, sorted,
-    ``LISTED_ITEMS_PER_LINE`` line numbers per row."""
+    """(trans_id string, items array<string>): one row per order, its items sorted."""
     li = table(spark, sf_dir, "lineitem")
-    chunk = F.floor((F.col("l_linenumber") - 1) / F.lit(LISTED_ITEMS_PER_LINE))
     return (
-        li.groupBy(F.col("l_orderkey"), chunk.alias("_chunk"))
+        li.groupBy("l_orderkey")
         .agg(F.array_sort(F.collect_list(F.col("l_partkey").cast("string"))).alias("items"))
         .select(F.col("l_orderkey").cast("string").alias("trans_id"), "items")
     )
@@ -129,6 +123,14 @@ def retail_csv(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def retail_naive_text(spark: SparkSession, sf_dir: str) -> str:
+    """Retail lines with plain commas: no quoting, no header."""
+    r = retail(spark, sf_dir)
+    day = F.date_format("invoice_date", "yyyy-MM-dd HH:mm:ss")
+    fields = [day if c == "invoice_date" else F.col(c).cast("string") for c in r.columns]
+    return _write_text(r.select(F.concat_ws(",", *fields)), spark, "retail-naive")
+
+
 def items_text(spark: SparkSession, sf_dir: str) -> str:
     """``id::title::f1|f2`` lines."""
     it = item_features(spark, sf_dir)

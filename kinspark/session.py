@@ -3,7 +3,8 @@ folder used to cut lineage or stage files.
 
 Library code never picks its own storage location when the cluster names
 one: ``spark.checkpoint.dir`` (or a checkpoint dir set on the context) wins.
-Only when neither is set (local tests) a fresh folder is made and registered.
+Only when neither is set and the master is local (tests) a fresh folder is
+made and registered; on a cluster an unset folder is an error.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
@@ -49,8 +50,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir).  Only when both are unset, as in local tests, a new
-    folder is created and set on the context.
+    checkpoint dir).  When both are unset, a local master gets a new folder;
+    elsewhere a folder of this machine would miss the executors' files.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,6 +61,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="kinspark-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -71,9 +74,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme for plain-Python access in tests."""
-    return path[len("file:"):] if path.startswith("file:") else path
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write df to the shared folder and read it back: computed once, and kept when executors are lost."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str):

@@ -3,18 +3,20 @@
 Line formats are parsed with Spark expressions only (no Python per row).
 Field splitting follows Java's ``String.split`` (see ``java_split``); a line
 with too few fields or a bad number fails the job, as the original parse
-did (ANSI mode raises on bad casts and on indexes past the end).  Spark's
-text and CSV readers split lines on LF, CRLF and CR and drop a leading
-UTF-8 byte order mark.
+did, whatever the session's ANSI setting.  Fields beyond those a format
+names are ignored.  Spark's text and CSV readers split lines on LF, CRLF and
+CR and drop a leading UTF-8 byte order mark.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinspark.functions.text import java_split
+from kinspark.functions.text import bind, java_split
 
 # The delimiters of the input formats.
 FIELD_DELIM = ","
@@ -45,9 +47,25 @@ RATING_SCHEMA = T.StructType(
 )
 
 
-def _fields(spark: SparkSession, path: str, delim: str):
-    lines = spark.read.text(path)
-    return lines, java_split(F.col("value"), delim)
+def _field(tokens: Column, i: int) -> Column:
+    """Token i (from 0); fails on a line with fewer."""
+    short = F.concat(F.lit(f"a line has fewer than {i + 1} fields: "), F.array_join(tokens, " | "))
+    return F.when(F.size(tokens) > i, F.get(tokens, F.lit(i))).otherwise(F.raise_error(short))
+
+
+def _number(text: Column, kind: str) -> Column:
+    """The text as a number; fails on anything else."""
+    bad = F.concat(F.lit(f"not a {kind}: "), text)
+    return F.coalesce(text.try_cast(kind), F.raise_error(bad).cast(kind))
+
+
+def _read_fields(spark: SparkSession, path: str, delim: str, fields: Callable[[Column], dict[str, Column]]) -> DataFrame:
+    """Lines split once each, and the named fields made of their tokens."""
+
+    def row(tokens: Column) -> Column:
+        return F.struct(*[c.alias(name) for name, c in fields(tokens).items()])
+
+    return spark.read.text(path).select(bind(java_split("value", delim), row).alias("row")).select("row.*")
 
 
 def read_listed_baskets(spark: SparkSession, path: str) -> DataFrame:
@@ -56,17 +74,17 @@ def read_listed_baskets(spark: SparkSession, path: str) -> DataFrame:
     Fields after the second are ignored; inner and leading empty items stay,
     trailing empty ones are dropped (Java split).
     """
-    lines, tok = _fields(spark, path, FIELD_DELIM)
-    return lines.select(
-        F.element_at(tok, 1).alias("trans_id"),
-        java_split(F.element_at(tok, 2), ITEM_DELIM).alias("items"),
+    return _read_fields(
+        spark,
+        path,
+        FIELD_DELIM,
+        lambda t: {"trans_id": _field(t, 0), "items": java_split(_field(t, 1), ITEM_DELIM)},
     )
 
 
 def read_flat_baskets(spark: SparkSession, path: str) -> DataFrame:
     """Lines ``tid,item`` -> (trans_id string, item string); extra fields ignored."""
-    lines, tok = _fields(spark, path, FIELD_DELIM)
-    return lines.select(F.element_at(tok, 1).alias("trans_id"), F.element_at(tok, 2).alias("item"))
+    return _read_fields(spark, path, FIELD_DELIM, lambda t: {"trans_id": _field(t, 0), "item": _field(t, 1)})
 
 
 def read_retail_lines(
@@ -81,11 +99,12 @@ def read_retail_lines(
 
     CSV quoting is honoured and the header skipped; an empty field is NULL.
     ``naive_split=True`` splits every line on commas with no quoting and no
-    header handling, all eight fields as strings.
+    header handling, all eight fields as strings.  There an empty field is
+    the empty string, which counts as a value (also in ``retail_summary``).
     """
     if naive_split:
-        lines, tok = _fields(spark, path, FIELD_DELIM)
-        return lines.select(*[F.element_at(tok, i + 1).alias(f.name) for i, f in enumerate(RETAIL_SCHEMA.fields)])
+        names = RETAIL_SCHEMA.fieldNames()
+        return _read_fields(spark, path, FIELD_DELIM, lambda t: {n: _field(t, i) for i, n in enumerate(names)})
     reader = spark.read.schema(RETAIL_SCHEMA).option("header", header).option("mode", "FAILFAST")
     if timestamp_format:
         reader = reader.option("timestampNTZFormat", timestamp_format)
@@ -94,29 +113,33 @@ def read_retail_lines(
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:
     """Lines ``id::title::f1|f2`` -> (item int, title string, features array<string>)."""
-    lines, tok = _fields(spark, path, DAT_DELIM)
-    return lines.select(
-        F.element_at(tok, 1).cast("int").alias("item"),
-        F.element_at(tok, 2).alias("title"),
-        java_split(F.element_at(tok, 3), ITEM_DELIM).alias("features"),
+    return _read_fields(
+        spark,
+        path,
+        DAT_DELIM,
+        lambda t: {
+            "item": _number(_field(t, 0), "int"),
+            "title": _field(t, 1),
+            "features": java_split(_field(t, 2), ITEM_DELIM),
+        },
     )
 
 
 def read_ratings_dat(spark: SparkSession, path: str) -> DataFrame:
     """Lines ``user::item::rating::ts`` -> (user int, item int); the rest dropped."""
-    lines, tok = _fields(spark, path, DAT_DELIM)
-    return lines.select(
-        F.element_at(tok, 1).cast("int").alias("user"),
-        F.element_at(tok, 2).cast("int").alias("item"),
+    return _read_fields(
+        spark,
+        path,
+        DAT_DELIM,
+        lambda t: {"user": _number(_field(t, 0), "int"), "item": _number(_field(t, 1), "int")},
     )
 
 
 def read_ratings_tsv(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated ``user item rating ts`` -> (userId int, itemId int, rating float, timestamp bigint)."""
-    return (
-        spark.read.schema(RATING_SCHEMA)
-        .option("sep", TSV_DELIM)
-        .option("header", False)
-        .option("mode", "FAILFAST")
-        .csv(path)
+    return _read_fields(
+        spark,
+        path,
+        TSV_DELIM,
+        lambda t: {f.name: _number(_field(t, i), f.dataType.simpleString()) for i, f in enumerate(RATING_SCHEMA)},
     )

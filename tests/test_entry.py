@@ -3,6 +3,7 @@
 import importlib.util
 import math
 import os
+import re
 
 import duckdb
 import numpy as np
@@ -34,8 +35,8 @@ def test_entry_smoke(spark):
 
 def test_sql_keys_are_queries():
     assert set(se.oracle_sql()) <= set(se.queries())
-    # only the ALS model outputs and the Java text layout lack an exact SQL form
-    assert set(se.queries()) - set(se.oracle_sql()) == {"als_predictions", "als_metrics", "rule_lines"}
+    own = {q for q in se.queries() if not re.match(r"op\d+_|pipeline$", q)}  # the text operators have tests of their own
+    assert own <= set(se.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -67,8 +68,3 @@ def test_oracle(spark, con, name):
     exp = con.sql(se.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(exp.columns)
     assert _rows(got) == _rows(exp)
-
-
-@pytest.mark.parametrize("name", ["als_predictions", "als_metrics", "rule_lines"])
-def test_rows_only(spark, name):
-    assert se.queries()[name](spark, SF_SMALL).count() > 0

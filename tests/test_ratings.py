@@ -93,6 +93,11 @@ def test_hash_split_covers_every_row_once(spark):
     assert 0.1 < frac < 0.3
 
 
+def test_factor_blocks_follow_the_setting(spark, train):
+    model = fit_als(train, num_blocks=3)
+    assert model.userFactors.rdd.getNumPartitions() == 3 and model.itemFactors.rdd.getNumPartitions() == 3
+
+
 def test_random_split_is_seeded(spark, train):
     a1, b1 = split_ratings(train, seed=5)
     a2, b2 = split_ratings(train, seed=5)

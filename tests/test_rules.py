@@ -1,16 +1,19 @@
 """Association rules: golden fixture, bag vs set, tiling, properties, edges."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, write_lines
-from kinspark.operators.baskets import basket_pairs, flatten_baskets, item_frequency, pair_frequency
+from kinspark.operators.baskets import basket_count, basket_pairs, item_support, flatten_baskets, item_frequency, pair_frequency
 from kinspark.operators.rules import association_rules, rule_stats, rules_per_antecedent, top_rules
-from kinspark.plans.pipelines import basket_rules
+from kinspark.plans.pipelines import basket_rules, run_basket_rules
 from kinspark.plans.views import flat_basket
 from kinspark.sources.readers import read_flat_baskets, read_listed_baskets
 from kinspark.sources.sinks import rule_lines
 
+# The twenty baskets of the golden fixture.
 BASKETS = [
     "1,A|B", "2,A|B|C", "3,A|C", "4,C|D", "5,A|C|E", "6,B|C|D", "7,D|E", "8,A|D|E", "9,B|D|E", "10,B|E",
     "11,A|B|C|D", "12,A|C|D|E", "13,B|C|D|E", "14,A|E", "15,B|D", "16,C|E", "17,A|C|D", "18,A|B|E",
@@ -176,6 +179,23 @@ def test_empty_input(spark):
     assert rules_per_antecedent(rules).count() == 0
 
 
+def test_one_meaning_of_n_with_null_items(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (2, "b"), (3, None), (None, "a")], "trans_id int, item string")
+    assert basket_count(df).first().n_baskets == 3
+    assert {r.item: r.support for r in item_support(df).collect()} == {"a": 2 / 3, "b": 2 / 3}
+    for tile_rows in (1, None, 100):
+        rules = association_rules(df, tile_rows=tile_rows).collect()
+        assert {(r.antecedent, r.consequent, r.support) for r in rules} == {("a", "b", 2 / 3), ("b", "a", 2 / 3)}
+        assert all(r.cons_support == 2 / 3 for r in rules if r.consequent == "b")
+
+
+def test_run_basket_rules_writes_every_output(spark, listed, tmp_path):
+    out = str(tmp_path / "out")
+    run_basket_rules(spark, listed, out, listed=True)
+    assert sorted(os.listdir(out)) == ["per_antecedent", "rules", "stats"]
+    assert spark.read.parquet(f"{out}/stats").first().n_rules == 20
+
+
 def test_single_item_baskets(spark):
     df = spark.createDataFrame([("1", "a"), ("2", "b")], "trans_id string, item string")
     assert association_rules(df).count() == 0

@@ -20,6 +20,7 @@ from kinspark.sources.readers import (
     read_items,
     read_listed_baskets,
     read_ratings_dat,
+    read_ratings_tsv,
     read_retail_lines,
 )
 from kinspark.sources.sinks import rule_lines, to_lines, write_table
@@ -77,6 +78,51 @@ def test_items_reader(spark, tmp_path):
             read_items(spark, bad).collect()
 
 
+@pytest.fixture
+def no_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("ansi", [True, False])
+def test_bad_lines_fail_whatever_the_ansi_setting(spark, tmp_path, ansi, request):
+    if not ansi:
+        request.getfixturevalue("no_ansi")
+    for i, (read, line) in enumerate(
+        [(read_ratings_dat, "x::2::3::4"), (read_ratings_dat, "5"), (read_items, "1::a"), (read_items, "q::a::b"),
+         (read_flat_baskets, "1"), (read_listed_baskets, "1"), (read_ratings_tsv, "1\t2\tx\t4"), (read_ratings_tsv, "1\t2\t3.5")]
+    ):
+        path = write_lines(tmp_path / f"{i}.txt", [line])
+        with pytest.raises(Exception, match="not a|fewer than"):
+            read(spark, path).collect()
+
+
+def test_ratings_tsv_ignores_more_fields(spark, tmp_path):
+    path = write_lines(tmp_path / "r.tsv", ["1\t2\t3.5\t100\tmore\tand more"])
+    assert [tuple(r) for r in read_ratings_tsv(spark, path).collect()] == [(1, 2, 3.5, 100)]
+
+
+def test_cluster_needs_a_named_folder(monkeypatch):
+    import kinspark.session as S
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        S.checkpoint_root(Session())
+
+
 def test_ratings_dat(spark, tmp_path):
     path = write_lines(tmp_path / "r.dat", ["1::10::5::978300760", "2::20::3::978302109"])
     assert [tuple(r) for r in read_ratings_dat(spark, path).collect()] == [(1, 10), (2, 20)]
@@ -129,8 +175,11 @@ def test_retail_rules_pipeline(spark, retail, tmp_path):
     assert res.top_lift.count() == len(rules)
     out = str(tmp_path / "out")
     run_retail_rules(spark, retail, out)
-    for name in ("rules", "summary", "countries", "items_map", "rules_with_item_desc", "top_lift"):
-        assert os.path.isdir(os.path.join(out, name))
+    assert sorted(os.listdir(out)) == [
+        "countries", "item_support", "items_map", "per_antecedent", "rules", "rules_with_item_desc", "stats", "summary",
+        "top_confidence", "top_lift", "top_support",
+    ]
+    assert spark.read.parquet(f"{out}/stats").first().n_rules == len(rules)
     lines = spark.read.text(os.path.join(out, "rules_with_item_desc")).collect()
     assert len(lines) == len(rules) and all(line.value.count(",") == 8 for line in lines)
 
