@@ -199,7 +199,7 @@ def components(
 
 
 def one_per_component(docs: DataFrame, shingle: int = SHINGLE, radius: int = MAX_BITS) -> DataFrame:
-    """The rows of docs (doc_id bigint, text, ...) that stay, with their columns: one per component, of least doc_id.
+    """The rows of docs (doc_id bigint, text string, ...) that stay, with their columns: one per component, of least doc_id.
 
     Rows that repeat both doc_id and fingerprint leave one.  Among rows without
     an id, each fingerprint of a component that has no id leaves one.
@@ -208,13 +208,14 @@ def one_per_component(docs: DataFrame, shingle: int = SHINGLE, radius: int = MAX
     stays = stage(least.agg(F.count("*").alias("n")), "staying")
     repeated = not stays.where("n > 1").isEmpty()
     stays = stays.select(F.col("doc_id").alias("stay_id"), F.col("fp").alias("stay_fp"))
-    row = F.struct(*[F.col(c) for c in docs.columns]).alias("source_row")
-    texts = with_fingerprint(docs.select("doc_id", F.col("text").cast("string").alias("text"), row))
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    row = [F.struct(*rest).alias("source_row")] if rest else []
+    texts = with_fingerprint(docs.select("doc_id", "text", *row))
     same = F.col("doc_id").eqNullSafe(F.col("stay_id")) & (F.col("fp") == F.col("stay_fp"))
     kept = texts.join(stays, same)
     if repeated:  # without repeated rows there is nothing to drop, and texts need not move again
         kept = kept.dropDuplicates(["doc_id", "fp"])
-    return kept.select("source_row.*")
+    return kept.select(*[c if c in ("doc_id", "text") else F.col("source_row")[c].alias(c) for c in docs.columns])
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
