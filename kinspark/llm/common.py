@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinspark.functions.text import bind
 from kinspark.session import shared_path, table
 
+__all__ = ["WHITE", "WHITE_RE", "bind", "documents", "pick", "stage", "words"]
+
 #: ASCII white space (space, tab, \n, \v, \f, \r); a word is a run of anything else.
 WHITE = " \t\n\x0b\x0c\r"
 WHITE_RE = r"[\x20\x09-\x0D]+"
@@ -33,8 +36,3 @@ def words(text: Column) -> Column:
     """Words of a text as an array (no words: empty array)."""
     trimmed = F.btrim(text, F.lit(WHITE))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WHITE_RE))
-
-
-def bind(value: Column, body) -> Column:
-    """let x = value in body(x): the value is computed once, also where body uses it inside lambdas."""
-    return F.transform(F.array(value), body)[0]
