@@ -160,6 +160,18 @@ def split_members(
     return Members(_weigh(normal, keys, dedupe), _weigh(hot, [*keys, "_nt"], dedupe), n_groups)
 
 
+def with_frequency(m: Members, freq: DataFrame, item_col: str) -> Members:
+    """Members with their item's ``freq``, joined before the self-join.
+
+    Member rows grow with the input, pair rows with its square: joined here, the
+    frequencies ride through the pair count, and the pair table is shuffled
+    once, for its aggregate, however many items there are.
+    """
+    own = freq.select(item_col, F.col("freq").alias("_f"))
+    hot = m.hot.join(own, item_col) if m.hot is not None else None
+    return Members(m.normal.join(own, item_col), hot, m.n_groups)
+
+
 def _q(name: str) -> str:
     """Quote a column name for a SQL expression."""
     return "`" + name.replace("`", "``") + "`"
@@ -175,6 +187,8 @@ def pair_rows(
 ) -> DataFrame:
     """(group, a, b, w) for every a < b in the same group; w = w_a * w_b.
 
+    Members that carry a frequency (:func:`with_frequency`) add (_fa, _fb).
+
     Ordinary groups: a self-join on the group over the already co-partitioned
     member table (no further shuffle).  Hot groups: the tiled join on
     (group, chunk_left, chunk_right).  Both sides are member tables, which
@@ -183,19 +197,22 @@ def pair_rows(
     failing when a partition is large.
     """
     g, it, a, b = _q(group_col), _q(item_col), _q(a_col), _q(b_col)
-    out_cols = [f"_g AS {g}", a, b, "_wa * _wb AS _w"]
-    left = m.normal.selectExpr(f"{g} AS _g", f"{it} AS {a}", "_w AS _wa")
-    right = m.normal.selectExpr(f"{g} AS _g", f"{it} AS {b}", "_w AS _wb")
+    f = "_f" in m.normal.columns
+    out_cols = [f"_g AS {g}", a, b, "_wa * _wb AS _w", *(["_fa", "_fb"] if f else [])]
+    fa, fb, own = (["_f AS _fa"], ["_f AS _fb"], ["_f"]) if f else ([], [], [])
+    left = m.normal.selectExpr(f"{g} AS _g", f"{it} AS {a}", "_w AS _wa", *fa)
+    right = m.normal.selectExpr(f"{g} AS _g", f"{it} AS {b}", "_w AS _wb", *fb)
     out = left.join(right.hint("merge"), on="_g").where(f"{a} < {b}").selectExpr(*out_cols)
     if m.hot is None:
         return out
     chunk = f"CAST(pmod(xxhash64({it}), _nt) AS INT)"
-    chunked = m.hot.selectExpr(f"{g} AS _g", f"{it} AS _i", "_w", f"{chunk} AS _c", "_nt")
-    low = chunked.selectExpr("_g", "_i AS _x", "_w AS _wa", "_c AS _ci", "explode(sequence(_c, _nt - 1)) AS _cj")
-    high = chunked.selectExpr("_g", "_i AS _y", "_w AS _wb", "explode(sequence(0, _c)) AS _ci", "_c AS _cj")
+    chunked = m.hot.selectExpr(f"{g} AS _g", f"{it} AS _i", "_w", f"{chunk} AS _c", "_nt", *own)
+    low = chunked.selectExpr("_g", "_i AS _x", "_w AS _wa", "_c AS _ci", "explode(sequence(_c, _nt - 1)) AS _cj", *fa)
+    high = chunked.selectExpr("_g", "_i AS _y", "_w AS _wb", "explode(sequence(0, _c)) AS _ci", "_c AS _cj", *fb)
     # within a tile of one chunk both sides hold every item; between chunks a pair comes in either order
     met = low.join(high.hint("merge"), on=["_g", "_ci", "_cj"]).where("_ci < _cj OR _x < _y")
-    tiles = met.selectExpr("_g", f"least(_x, _y) AS {a}", f"greatest(_x, _y) AS {b}", "_wa", "_wb")
+    swapped = ["if(_x < _y, _fa, _fb) AS _fa", "if(_x < _y, _fb, _fa) AS _fb"] if f else []
+    tiles = met.selectExpr("_g", f"least(_x, _y) AS {a}", f"greatest(_x, _y) AS {b}", "_wa", "_wb", *swapped)
     return out.unionByName(tiles.selectExpr(*out_cols))
 
 
@@ -251,12 +268,14 @@ def pair_counts(
     repeated k times in a group counts k times.  ``ordered``: emit (a, b) and
     (b, a); otherwise only a < b.  ``diagonal``: add (a, a) rows (groups
     holding a, or the sum of squared repeats in bag form).  ``memb`` may pass
-    a :func:`split_members` result shared with other outputs.
+    a :func:`split_members` result shared with other outputs; members with a
+    frequency add the columns (_fa, _fb) (``ordered=False`` only).
     """
     memb = memb if memb is not None else split_members(df, group_col, item_col, dedupe, tile_rows, sizes)
     rows = pair_rows(memb, group_col, item_col, a_col=a_col, b_col=b_col)
     agg = F.count(F.lit(1)) if dedupe else F.sum("_w")
-    counts = rows.groupBy(a_col, b_col).agg(agg.alias(count_col))
+    carried = [F.max(c).alias(c) for c in ("_fa", "_fb") if c in rows.columns]  # the same in all rows of a pair
+    counts = rows.groupBy(a_col, b_col).agg(agg.alias(count_col), *carried)
     if ordered:
         counts = mirror(counts, a_col, b_col, [count_col])
     if diagonal:

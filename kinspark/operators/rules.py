@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from kinspark.functions.measures import confidence_sql, lift_sql
 from kinspark.operators.baskets import _n_col
-from kinspark.operators.pairs import DEFAULT_TILE_ROWS, item_totals, mirror, pair_counts, row_counts, split_members
+from kinspark.operators.pairs import (
+    DEFAULT_TILE_ROWS,
+    item_totals,
+    mirror,
+    pair_counts,
+    row_counts,
+    split_members,
+    with_frequency,
+)
 
 RULE_COLUMNS = ["antecedent", "consequent", "ant_support", "cons_support", "support", "confidence", "lift"]
 METRICS = ("support", "confidence", "lift")
@@ -31,8 +39,7 @@ def association_rules(
     ``basket_count`` and ``item_support``); pass ``n_baskets`` for the
     listed-file meaning (lines).  ``dedupe=False`` keeps the bag counts of the original
     programs, where repeats inflate counts and support can pass 1.
-    ``min_support`` (off by default) filters on the pair count before the
-    support joins.
+    ``min_support`` (off by default) filters on the pair count.
     """
     memb = split_members(flat, trans_col, item_col, dedupe, tile_rows)
     if n_baskets is not None:
@@ -42,7 +49,7 @@ def association_rules(
     else:
         n = row_counts(flat, trans_col, item_col).select(F.count(F.lit(1))).scalar()
     freq = item_totals(memb.all(), item_col, "freq")
-    # counts for a < b only; frequencies are joined to this half, then mirrored
+    # counts for a < b only, with the two frequencies, then mirrored
     half = pair_counts(
         flat,
         trans_col,
@@ -53,32 +60,22 @@ def association_rules(
         a_col="antecedent",
         b_col="consequent",
         count_col="_n",
-        memb=memb,
+        memb=with_frequency(memb, freq, item_col),
     )
-    return rules_from_counts(half, freq, n, item_col=item_col, min_support=min_support)
+    return rules_from_counts(half, n, min_support=min_support)
 
 
-def rules_from_counts(
-    half: DataFrame,
-    freq: DataFrame,
-    n: int | Column,
-    *,
-    item_col: str = "item",
-    min_support: float | None = None,
-) -> DataFrame:
-    """Rules from pair counts (antecedent < consequent, ``_n``), item
-    frequencies (item, ``freq``) and the basket count ``n``.
+def rules_from_counts(half: DataFrame, n: int | Column, *, min_support: float | None = None) -> DataFrame:
+    """Rules from pair counts (antecedent < consequent, ``_n``) with the two
+    item frequencies (``_fa``, ``_fb``), and the basket count ``n``.
 
-    Frequencies are joined to the a < b half, then rows are mirrored; support
-    and lift are symmetric, confidence is computed per direction.
+    Rows are mirrored; support and lift are symmetric, confidence is computed
+    per direction.
     """
     n = n if isinstance(n, Column) else F.lit(int(n))
     if min_support is not None:
         half = half.where(F.col("_n").cast("double") / n >= F.lit(float(min_support)))
-    ant = freq.select(F.col(item_col).alias("antecedent"), F.col("freq").alias("_fa"))
-    cons = freq.select(F.col(item_col).alias("consequent"), F.col("freq").alias("_fb"))
-    joined = half.join(ant, "antecedent").join(cons, "consequent")
-    both = mirror(joined, "antecedent", "consequent", ["_n"], swap=[("_fa", "_fb")])
+    both = mirror(half, "antecedent", "consequent", ["_n"], swap=[("_fa", "_fb")])
     sup, ant_sup, cons_sup = (f"CAST({c} AS DOUBLE) / _nbaskets" for c in ("_n", "_fa", "_fb"))
     return both.select("*", n.alias("_nbaskets")).selectExpr(
         "antecedent",

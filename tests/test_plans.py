@@ -30,3 +30,16 @@ def test_collab_plan_shape(spark):
     plan = _final_plan(collaborative_similarity(implicit(spark, SF_SMALL)))
     assert "SortMergeJoin" in plan and "ReusedExchange" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_pair_table_is_shuffled_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (association_rules(flat_basket(spark, SF_SMALL)), collaborative_similarity(implicit(spark, SF_SMALL))):
+            plan = _final_plan(df).split("== Initial Plan ==")[0]
+            above = plan[: plan.index("SortMergeJoin")]  # from the result down to the self-join
+            assert above.count("Exchange hashpartitioning") == 1, above
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
