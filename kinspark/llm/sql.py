@@ -12,7 +12,7 @@ _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
 QUALITY_RULES = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws, string_split(text, chr(10)) AS ls, text FROM d),
-l AS (SELECT *, list_filter(ls, x -> length(trim(x, {_WHITE})) > 0) AS lines FROM w),
+l AS (SELECT *, [x FOR x IN ls IF length(trim(x, {_WHITE})) > 0] AS lines FROM w),
 g AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS s
       FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 2)) AS i FROM w WHERE len(ws) > 2) q),
 r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
@@ -20,14 +20,14 @@ r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
           SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS c FROM g) a WHERE c > 1) b GROUP BY doc_id),
 m AS (SELECT l.doc_id,
         CAST(len(ws) AS BIGINT) AS n_words,
-        CAST(coalesce(list_sum(list_transform(ws, x -> length(x))), 0) AS BIGINT) AS word_chars,
+        CAST(coalesce(list_sum([length(x) FOR x IN ws]), 0) AS BIGINT) AS word_chars,
         CAST(length(text) - length(translate(text, '{SYMBOLS}', '')) AS BIGINT) AS n_symbols,
         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
         CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
         len(lines) AS n_lines,
-        len(list_filter(ws, x -> lower(x) IN ({_STOP}))) AS n_stop_words,
-        len(list_filter(lines, x -> ends_with(x, '...') OR ends_with(x, chr(8230)))) AS n_ellipsis_lines,
-        len(list_filter(lines, x -> starts_with(x, '- ') OR starts_with(x, '* ') OR starts_with(x, chr(8226) || ' ')))
+        len([x FOR x IN ws IF lower(x) IN ({_STOP})]) AS n_stop_words,
+        len([x FOR x IN lines IF ends_with(x, '...') OR ends_with(x, chr(8230))]) AS n_ellipsis_lines,
+        len([x FOR x IN lines IF starts_with(x, '- ') OR starts_with(x, '* ') OR starts_with(x, chr(8226) || ' ')])
           AS n_bullet_lines
       FROM l LEFT JOIN r ON r.doc_id = l.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {BASE_FAILED} AS base_failed,
