@@ -156,7 +156,8 @@ def dedup_lines(
     runs = LineRuns(fanout)
     for b in range(batches):
         runs.add(lines.where(F.col("batch") == b).select("h", "doc_id"))
-    shared = runs.counts().where(F.col("n_docs") >= min_docs).select("h", "max_doc")
+    # written, so that the join with a line's many rows has plain sides and adaptive execution can split it
+    shared = stage(runs.counts().where(F.col("n_docs") >= min_docs).select("h", "max_doc"), "shared-lines")
     lost = lines.select("h", "doc_id").join(shared, "h").where("doc_id <> max_doc")
     drops = lost.groupBy("doc_id").agg(F.collect_set("h").alias("drops"))
     return _drop_lines(text.join(drops, "doc_id", "left"), min_chars)
