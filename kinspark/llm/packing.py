@@ -20,12 +20,15 @@ other columns are ignored.  The order of documents is that of the scan.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +38,13 @@ from kinspark.llm.common import documents, pick, stage
 SEQ_LEN = 1024
 END_ID = 0
 #: Entries of a task's memo of encoded chunks; when full it starts afresh.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 800_000
+#: Bytes of text encoded at a time.
+SLICE_BYTES = 8 << 20
 
 # Fixed value: the white space of the tokenizer's pattern (Unicode White_Space).
-_SPACE = r"\t-\r \x85\xa0  -     　"
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_SPACE_RE2 = re.sub(r"\\(?:u(....)|x(..))", lambda m: rf"\x{{{m[1] or m[2]}}}", _SPACE)
 #: The tokenizer never joins two chunks: a run of white space gives its last blank to the word after it.
 _CHUNK = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
 
@@ -50,36 +56,68 @@ def default_tokenizer_path() -> str:
 
 
 class ChunkEncoder:
-    """Token ids of whole texts as little-endian uint32 bytes, equal to ``Tokenizer.encode(text).ids``.
+    """Token ids of texts, equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``.
 
     The byte-level BPE pattern splits at white space before any merge, so a
-    text's ids are its chunks' ids in turn; each distinct chunk is encoded once.
-    A text that names a special token is encoded whole.
+    text's ids are its chunks' ids in turn, and each distinct chunk is encoded
+    once.  ``encode_all`` splits most texts at blanks in Arrow and gathers ids
+    in numpy; a text where a blank follows other white space is chunked by
+    ``_CHUNK``, one that names a special token is encoded whole.
     """
 
     def __init__(self, path: str, memo_entries: int = MEMO_ENTRIES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = "|".join(map(re.escape, special)) or "$^"
+        self.odd = rf"[{_SPACE_RE2}] |{self.special}"
         self.memo: dict[str, bytes] = {}
         self.memo_entries = memo_entries
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        memo = self.memo
+        if len(memo) > self.memo_entries:
+            memo.clear()
+        if new := list({c for c in chunks if c not in memo}):
+            for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                memo[c] = array("I", e.ids).tobytes()
+        return [memo[c] for c in chunks]
+
     def __call__(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
+        if re.search(self.special, text):
             return self._encode(text)
-        chunks, memo = _CHUNK.findall(text), self.memo
-        new = list({c for c in chunks if c not in memo})
-        if new:
-            if len(memo) > self.memo_entries:
-                memo.clear()
-                new = list(set(chunks))
-            for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                memo[c] = np.array(e.ids, dtype="<u4").tobytes()
-        return b"".join([memo[c] for c in chunks])
+        return b"".join(self._chunks(_CHUNK.findall(text)))
+
+    def encode_all(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, each closed by end_id; tokens of each text)."""
+        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
+        plain = pc.if_else(pa.array(odd), "", texts)
+        split = pc.split_pattern(plain, " ")
+        parts = split.flatten().dictionary_encode()
+        ends = split.offsets.to_numpy()[1:] - split.offsets.to_numpy()[0]
+        firsts = np.concatenate(([0], ends[:-1]))
+        index = parts.indices.to_numpy().astype(np.int64)
+        known = parts.dictionary.to_pylist()
+        # a text's first part has no blank before it; an odd text is one entry of its own
+        heads = [p.as_py() for p in parts.take(pa.array(firsts))]
+        of_heads = self._chunks(heads)
+        of_odd = [self(t.as_py()) for t in texts.filter(pa.array(odd))]
+        entries = self._chunks([" " + p for p in known]) + of_heads + of_odd + [end_id.to_bytes(4, "little")]
+        heads_at = len(known) + np.arange(len(heads))
+        heads_at[odd] = len(known) + len(heads) + np.arange(len(of_odd))
+        index[firsts] = heads_at
+        index = np.insert(index, ends, len(entries) - 1)
+        sizes = np.fromiter(map(len, entries), dtype=np.int64, count=len(entries)) // 4
+        begins = np.cumsum(sizes) - sizes
+        count = sizes[index]
+        stops = np.cumsum(count)
+        at = np.repeat(begins[index] - (stops - count), count) + np.arange(stops[-1])
+        ids = np.frombuffer(b"".join(entries), dtype="<u4")[at]
+        return ids, np.diff(stops[ends + np.arange(len(ends))], prepend=0)
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
@@ -88,26 +126,40 @@ _ENCODERS: dict[str, ChunkEncoder] = {}
 def _encoder(path: str) -> ChunkEncoder:
     """One encoder per worker process."""
     if path not in _ENCODERS:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         _ENCODERS[path] = ChunkEncoder(path)
     return _ENCODERS[path]
 
 
+def _slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``most`` bytes of text each (a longer text is alone)."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
+    start = 0
+    while start < len(size):
+        before = size[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(size, before + most, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
+def _ids_array(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Binary array of each text's ids."""
+    offsets = np.concatenate(([0], np.cumsum(counts * 4)))
+    return pa.Array.from_buffers(
+        pa.large_binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids.tobytes())]
+    ).cast(pa.binary())
+
+
 def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
     """Staged rows (doc_id, part, local_start, doc_tokens, ids): ids as little-endian uint32 bytes with the end id."""
-    end = np.array([end_id], dtype="<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, at = _encoder(tokenizer_path), TaskContext.get().partitionId(), 0
-        for batch in batches:
-            ids = [encode(t.as_py() or "") + end for t in batch.column(1)]
-            n = np.array([len(x) // 4 for x in ids], dtype=np.int64)
+        encoder, part, at = _encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        for batch in (x for b in batches for x in _slices(b, 1, SLICE_BYTES)):
+            ids, n = encoder.encode_all(pc.fill_null(batch.column(1), ""), end_id)
             starts = at + np.cumsum(n) - n
             at += int(n.sum())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([part] * len(ids), pa.int32()), pa.array(starts), pa.array(n), pa.array(ids, pa.binary())],
+                [batch.column(0), pa.array(np.full(len(n), part, np.int32)), pa.array(starts), pa.array(n), _ids_array(ids, n)],
                 names=["doc_id", "part", "local_start", "doc_tokens", "ids"],
             )
 

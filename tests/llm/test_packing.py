@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -21,7 +22,9 @@ def test_chunk_encoder_equals_tokenizer(tokenizer, awkward, small_docs):
     encode = P.ChunkEncoder(P.default_tokenizer_path(), memo_entries=50)
     texts = [r.text or "" for d in (awkward, small_docs) for r in d.collect()]
     texts += ["a  b\n\n c \n", "  ", "a <|endoftext|>  b", "x  <|endoftext|>", "it's we'LL 'd '", "a\x1cb   c　d\x85", " ᠎z"]
-    for t in texts:
+    every, n = encode.encode_all(pa.array(texts), 7)
+    for t, own in zip(texts, np.split(every, np.cumsum(n)[:-1])):
+        assert own.tolist() == ids_of(tokenizer, t)[:-1] + [7], t[:50]
         assert np.frombuffer(encode(t), "<u4").tolist() == ids_of(tokenizer, t)[:-1], t[:50]
 
 
