@@ -38,9 +38,9 @@ from kinspark.llm.common import documents, pick, stage
 SEQ_LEN = 1024
 END_ID = 0
 #: Entries of a task's memo of encoded chunks; when full it starts afresh.
-MEMO_ENTRIES = 800_000
-#: Bytes of text encoded at a time.
-SLICE_BYTES = 8 << 20
+MEMO_ENTRIES = 500_000
+#: Bytes of text or ids that a task handles at a time.
+SLICE_BYTES = 4 << 20
 
 # Fixed value: the white space of the tokenizer's pattern (Unicode White_Space).
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -223,7 +223,7 @@ def sequences(tokens: DataFrame, seq_len: int = SEQ_LEN, pad_id: int = END_ID) -
                 if window and (len(window) == 4 * seq_len) == complete:
                     out.append((begin // seq_len, begin % seq_len, window, docs))
 
-            for batch in batches:
+            for batch in (x for b in batches for x in _slices(b, 4, SLICE_BYTES)):
                 for doc_id, part, local, n, ids in zip(*[batch.column(i).to_pylist() for i in range(5)], strict=True):
                     first = bases.value[part] + local
                     if first != expect:  # this task reads another stretch of the stream now
@@ -236,16 +236,16 @@ def sequences(tokens: DataFrame, seq_len: int = SEQ_LEN, pad_id: int = END_ID) -
                         window += ids[4 * at : 4 * (at + size)]
                         docs = [*docs, doc_id]
                     expect = first + n
-                yield _records(out)
+                yield emit(out)
                 out.clear()
             close()
-            yield _records(out)
+            yield emit(out)
 
+        emit = (lambda rows: _padded(_records(rows), seq_len, pad_id)) if complete else _records
         return run
 
-    schema = "sequence_id long, at int, ids binary, doc_ids array<long>"
-    whole = plain.mapInArrow(cut(True), schema).mapInArrow(_padded(seq_len, pad_id), _SEQUENCE)
-    edges = plain.mapInArrow(cut(False), schema).groupBy("sequence_id").agg(
+    whole = plain.mapInArrow(cut(True), _SEQUENCE)
+    edges = plain.mapInArrow(cut(False), "sequence_id long, at int, ids binary, doc_ids array<long>").groupBy("sequence_id").agg(
         F.sort_array(F.collect_list(F.struct("at", "ids", "doc_ids"))).alias("edges")  # at most seq_len ids in all
     )
     edges = edges.select(
@@ -254,7 +254,12 @@ def sequences(tokens: DataFrame, seq_len: int = SEQ_LEN, pad_id: int = END_ID) -
         F.expr("unhex(array_join(transform(edges, x -> hex(x.ids)), ''))").alias("ids"),
         F.flatten(F.col("edges.doc_ids")).alias("doc_ids"),
     )
-    return whole.unionByName(edges.mapInArrow(_padded(seq_len, pad_id), _SEQUENCE))
+
+    def pad(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _padded(batch, seq_len, pad_id)
+
+    return whole.unionByName(edges.mapInArrow(pad, _SEQUENCE))
 
 
 _SEQUENCE = "sequence_id long, tokens array<int>, n_tokens int, doc_ids array<long>"
@@ -266,23 +271,17 @@ def _records(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["sequence_id", "at", "ids", "doc_ids"])
 
 
-def _padded(seq_len: int, pad_id: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [np.frombuffer(x.as_py(), dtype="<u4") for x in batch.column("ids")]
-            flat = np.full((len(ids), seq_len), pad_id, dtype=np.int32)
-            for row, x in zip(flat, ids, strict=True):
-                row[: len(x)] = x
-            tokens = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, flat.size + 1, seq_len), pa.int32()), pa.array(flat.ravel(), pa.int32())
-            )
-            n = pa.array([len(x) for x in ids], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("sequence_id"), tokens, n, batch.column("doc_ids")],
-                names=["sequence_id", "tokens", "n_tokens", "doc_ids"],
-            )
-
-    return run
+def _padded(batch: pa.RecordBatch, seq_len: int, pad_id: int) -> pa.RecordBatch:
+    """Records of whole sequences, with their ids as a list padded to seq_len."""
+    ids = [np.frombuffer(x.as_py(), dtype="<u4") for x in batch.column("ids")]
+    flat = np.full((len(ids), seq_len), pad_id, dtype=np.int32)
+    for row, x in zip(flat, ids, strict=True):
+        row[: len(x)] = x
+    offsets = pa.array(np.arange(0, flat.size + 1, seq_len), pa.int32())
+    tokens = pa.ListArray.from_arrays(offsets, pa.array(flat.ravel(), pa.int32()))
+    n = pa.array([len(x) for x in ids], pa.int32())
+    names = ["sequence_id", "tokens", "n_tokens", "doc_ids"]
+    return pa.RecordBatch.from_arrays([batch.column("sequence_id"), tokens, n, batch.column("doc_ids")], names=names)
 
 
 def tokenised_documents(
