@@ -63,3 +63,15 @@ def test_pieces_and_sequences(tokenizer, awkward, seq_len):
 def test_empty(no_rows):
     tokens = P.tokenised_documents(no_rows)
     assert P.pieces(tokens).collect() == [] and P.sequences(tokens).collect() == []
+
+
+def test_engine_and_tokenizer_agree(tokenizer, small_docs):
+    fast, slow = (P.ChunkEncoder(P.default_tokenizer_path()) for _ in range(2))
+    assert fast.engine is not None
+    slow.engine = None
+    odd = ["".join(chr(i) for i in range(j, j + 40)) for j in range(1, 0x3000, 40)]
+    texts = pa.array([r.text for r in small_docs.collect()] + odd + ["it's 'LL x'd 12½ ²", "漢 字😀 ab"])
+    ids, n = fast.encode_all(texts, 5)
+    same, m = slow.encode_all(texts, 5)
+    assert n.tolist() == m.tolist() and ids.tolist() == same.tolist()
+    assert ids.tolist() == [x for t in texts.to_pylist() for x in tokenizer.encode(t, add_special_tokens=False).ids + [5]]
