@@ -118,11 +118,14 @@ class BlobLedger:
         todo.select("blob", F.col("todo").alias("rules")).write.mode("append").parquet(f"{self.root}/seen")
 
     def spans(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-        """(blob, spans): per blob with findings its distinct spans (start, ord, kind, end), by start, then rule order."""
+        """(blob, spans): per blob with findings its distinct spans (start, ord, kind, end), by start, then rule order.
+
+        Staged, so that a join with a blob's many paths has plain sides and adaptive execution can split it.
+        """
         table = [F.struct(F.lit(r.key).alias("rule"), F.lit(i).alias("ord"), F.lit(r.kind).alias("kind")) for i, r in enumerate(rules)]
         named = self._read("findings").select("*", F.inline(F.array(*table)).alias("r", "ord", "kind")).where("rule = r")
         span = F.struct("start", "ord", "kind", "end")
-        return named.groupBy("blob").agg(F.sort_array(F.collect_set(span)).alias("spans"))
+        return stage(named.groupBy("blob").agg(F.sort_array(F.collect_set(span)).alias("spans")), "spans")
 
 
 def _scan_texts(rules: tuple[Rule, ...]):
