@@ -20,9 +20,9 @@ then only the beginnings.
 
 Defined results: a null text counts as empty; a text without words has an empty
 fingerprint, like 1 to another such and 0 to the rest; of rows that share a
-doc_id, each is a document, and the one with the smallest text is the next
-document of the id before; a row with null doc_id has an empty text as its
-next document and is nobody's next; an only document is its own next; an empty
+doc_id, each is a document, and the id before takes the smallest of their
+texts for its tail and the smallest of their fingerprints for near_next; a row
+with null doc_id has an empty text as its next document and is nobody's next; an only document is its own next; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -130,10 +130,19 @@ def as_text(s: Column) -> Column:
     )
 
 
+_WIDTH = 10  # characters of a bin in as_text
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """Equal bins among the bins filled in a or b (1 if neither has any)."""
-    same = F.size(F.array_intersect(a, b))
-    filled = F.size(F.array_union(F.transform(a, lambda x: x["bin"]), F.transform(b, lambda x: x["bin"])))
+    """Equal bins among the bins filled in fingerprints a or b (1 if neither has any)."""
+
+    def bins(s: Column, width: int) -> Column:
+        at = F.sequence(F.lit(0), F.length(s) - 1, F.lit(_WIDTH))
+        none = F.array().cast("array<string>")
+        return F.when(F.length(s) == 0, none).otherwise(F.transform(at, lambda i: F.substring(s, i + 1, F.lit(width))))
+
+    same = F.size(F.array_intersect(bins(a, _WIDTH), bins(b, _WIDTH)))
+    filled = F.size(F.array_union(bins(a, 2), bins(b, 2)))
     return F.when(filled == 0, F.lit(1.0)).otherwise(same / filled)
 
 
@@ -158,30 +167,33 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
-    base = plain.select("doc_id", "text", sketch(F.col("text")).alias("own"))
-    lengths = plain.select("doc_id", F.length("text").alias("n"))
-    longest = lengths.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("n").alias("n"))
-    order = next_ids(longest.select("doc_id")).join(longest, "doc_id")
-    wanted = order.select(
-        F.col("next_id").alias("doc_id"), F.col("doc_id").alias("before"), F.floor(F.col("n") / 4).cast("int").alias("most")
-    )
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    starts = base.withColumn("place", first).where("place = 1").join(wanted, "doc_id").select(
-        F.col("before").alias("doc_id"), F.expr("left(text, most)").alias("start"), F.col("own").alias("next")
-    )
-    both = base.join(starts, "doc_id", "left").select("*", F.length("text").alias("n"))
-    edited = F.expr("concat(left(text, n - n div 4), left(coalesce(start, ''), cast(n div 4 as int)))")
-    both = both.select("doc_id", "n", "own", "next", edited.alias("edited"))
-    out = both.select("doc_id", "n", "own", "next", F.sha2("edited", 256).alias("sha"), sketch(F.col("edited")).alias("changed"))
-    empty = F.array().cast("array<struct<bin:int,value:bigint>>")
-    return out.select(
+    placed = plain.where("doc_id IS NOT NULL")  # joined twice below over one exchange: nothing but the scan is under it
+    longest = placed.groupBy("doc_id").agg(F.max(F.length("text")).alias("n"))
+    order = stage(next_ids(longest.select("doc_id")).join(longest, "doc_id"), "next-ids")
+    wanted = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("before"), F.expr("n div 4").alias("most"))
+    begun = placed.join(wanted.hint("merge"), "doc_id")
+    starts = begun.select(F.col("before").alias("doc_id"), F.expr("left(text, cast(most as int))").alias("start"))
+    starts = starts.groupBy("doc_id").agg(F.min("start").alias("start"))
+    joined = placed.join(starts.hint("merge"), "doc_id").select("doc_id", "text", "start")
+    alone = plain.where("doc_id IS NULL").select("doc_id", "text", F.lit("").alias("start"))
+    both = joined.unionByName(alone).select("*", F.length("text").alias("n"))
+    edited = F.expr("concat(left(text, n - n div 4), left(start, cast(n div 4 as int)))")
+    both = both.select("doc_id", "n", "text", edited.alias("edited"))
+    prints = both.select(
         "doc_id",
         F.col("n").cast("bigint").alias("n_chars"),
-        F.col("sha").alias("edited_sha256"),
-        as_text(F.col("own")).alias("fingerprint"),
-        as_text(F.col("changed")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("changed")).alias("near_edited"),
-        likeness(F.col("own"), F.coalesce("next", empty)).alias("near_next"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        as_text(sketch(F.col("text"))).alias("fingerprint"),
+        as_text(sketch(F.col("edited"))).alias("edited_fingerprint"),
+    )
+    prints = stage(prints, "fingerprints")
+    one = prints.groupBy("doc_id").agg(F.min("fingerprint").alias("fingerprint"))
+    following = one.select(F.col("doc_id").alias("next_id"), F.col("fingerprint").alias("next"))
+    following = order.select("doc_id", "next_id").join(following, "next_id").select("doc_id", "next")
+    return prints.join(following, "doc_id", "left").select(
+        *prints.columns,
+        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        likeness(F.col("fingerprint"), F.coalesce("next", F.lit(""))).alias("near_next"),
     )
 
 
