@@ -15,8 +15,8 @@ sorted array, so the work is O(n log n) in the text length.
 
 ``fingerprint_edits`` also fingerprints each text with its last quarter replaced
 by the beginning of the next document.  The order of ids is found on ids alone
-(range partitions and one row per partition); texts move once, by doc_id, and
-then only the beginnings.
+(range partitions and one row per partition); texts move by doc_id for each of
+the two joins, and between them only the beginnings.
 
 Defined results: a null text counts as empty; a text without words has an empty
 fingerprint, like 1 to another such and 0 to the rest; of rows that share a
@@ -167,7 +167,7 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
-    placed = plain.where("doc_id IS NOT NULL")  # joined twice below over one exchange: nothing but the scan is under it
+    placed = plain.where("doc_id IS NOT NULL")  # joined twice below; nothing but the scan is under the exchanges
     longest = placed.groupBy("doc_id").agg(F.max(F.length("text")).alias("n"))
     order = stage(next_ids(longest.select("doc_id")).join(longest, "doc_id"), "next-ids")
     wanted = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("before"), F.expr("n div 4").alias("most"))
