@@ -45,6 +45,10 @@ BYTE_PENALTY = 10.0
 UNIT = 1_000_000
 #: Blocks that a task remembers; when full it starts afresh.
 MEMO_ENTRIES = 600_000
+#: Bytes of segmentations, or characters of texts, after which a task hands a batch on.
+OUT_BYTES = 4_000_000
+_SEGMENTATIONS = "array<struct<score: double, ids: array<int>>>"
+_DECODED = f"doc_id long, segmentations {_SEGMENTATIONS}, decodings array<string>"
 
 _BLOCK = re.compile(f"{SIGN}+[^{SIGN}]*|[^{SIGN}]+")
 
@@ -94,7 +98,8 @@ class Pieces:
         #: Every beginning of a piece; its (score, ids) if it is one, else None.
         self.prefixes: dict[str, tuple[int, bytes] | None] = {p[:i]: None for p in self.ids for i in range(1, len(p))}
         self.prefixes |= self.ids
-        self.raw = [b"" if t is None else bytes([t]) if isinstance(t, int) else t.encode() for t in self.texts]
+        raw = [b"" if t is None else bytes([t]) if isinstance(t, int) else t.encode() for t in self.texts]
+        self.raw = np.array(raw, object)
         if any(SIGN in p.lstrip(SIGN) for p in self.ids) or size > 65_535:
             raise ValueError("the vocabulary joins words, or has too many pieces")
         self.memo: dict[str, tuple[bytes, int, int | None]] = {}  # what lookup gives
@@ -185,16 +190,23 @@ class Pieces:
     def blocks(self, text: str) -> list[str]:
         return _BLOCK.findall(SIGN + text.replace(" ", SIGN)) if text else []
 
-    def n_best_of(self, text: str) -> tuple[bytes, list[int]]:
-        """(ids of the best, scores of the n best) of a text."""
+    def _found(self, text: str) -> tuple[list[str], list[tuple[bytes, int, int | None]]]:
+        """The blocks of a text and what lookup gives for each."""
         blocks, memo = self.blocks(text), self.memo
         if len(memo) > self.memo_entries:
             memo.clear()
             self.lists.clear()
-        for b in blocks:
-            if b not in memo:
-                memo[b] = self.lookup(b)
-        found = [memo[b] for b in blocks]
+        found = list(map(memo.get, blocks))
+        if None in found:
+            for b in blocks:
+                if b not in memo:
+                    memo[b] = self.lookup(b)
+            found = [memo[b] for b in blocks]
+        return blocks, found
+
+    def n_best_of(self, text: str) -> tuple[bytes, list[int]]:
+        """(ids of the best, scores of the n best) of a text."""
+        blocks, found = self._found(text)
         total = sum(f[1] for f in found)
         return b"".join([f[0] for f in found]), [total - x for x, _ in self._choices(blocks, found)]
 
@@ -205,29 +217,34 @@ class Pieces:
         out: list[tuple[int, tuple]] = [(0, ())]
         for _, i in near:
             own = self.lists.get(blocks[i])
-            if own is None:
-                own = self.lists[blocks[i]] = self.search(blocks[i], n)
+            if own is None:  # lookup's best is first, also where others have the same total
+                best, score, _ = found[i]
+                rest = [x for x in self.search(blocks[i], n) if x[1] != best]
+                own = self.lists[blocks[i]] = [(score, best), *rest[: n - 1]]
             lacks = [(own[0][0] - s, k) for k, (s, _) in enumerate(own)]
             joined = [(a + b, (*c, (i, k)) if k else c) for a, c in out for b, k in lacks]
             out = heapq.nsmallest(n, joined)
         return out
 
-    def encodings(self, text: str) -> list[tuple[int, np.ndarray]]:
+    def segmentations(self, text: str) -> list[tuple[int, bytes]]:
         """The n best (score, ids) of a text, whole."""
-        self.n_best_of(text)
-        blocks = self.blocks(text)
-        found = [self.memo[b] for b in blocks]
+        blocks, found = self._found(text)
         total, out = sum(f[1] for f in found), []
+        best = [f[0] for f in found]
         for lack, other in self._choices(blocks, found):
-            parts = [f[0] for f in found]
+            parts = best.copy() if other else best
             for i, k in other:
                 parts[i] = self.lists[blocks[i]][k][1]
-            out.append((total - lack, np.frombuffer(b"".join(parts), "<u2")))
+            out.append((total - lack, b"".join(parts)))
         return out
 
+    def encodings(self, text: str) -> list[tuple[int, np.ndarray]]:
+        """``segmentations`` with ids as numbers."""
+        return [(score, np.frombuffer(ids, "<u2")) for score, ids in self.segmentations(text)]
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of a segmentation: pieces joined, byte pieces as UTF-8, without the first sign."""
-        raw = b"".join([self.raw[i] for i in ids.tolist()])
+        raw = b"".join(self.raw[ids].tolist())
         return raw.decode().replace(SIGN, " ")[1:]
 
 
@@ -240,46 +257,101 @@ def _pieces(path: str, n_best: int) -> Pieces:
     return _LOADED[path, n_best]
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], pieces: Pieces) -> Iterator[pa.RecordBatch]:
+    """(doc_id, segmentations) of batches (doc_id, text), in batches of about ``OUT_BYTES``."""
+
+    def out(keys: list, got: list) -> pa.RecordBatch:
+        each = [x for g in got if g is not None for x in g]
+        flat = pa.array(np.frombuffer(b"".join([ids for _, ids in each]), "<u2").astype(np.int32))
+        ends = np.cumsum([0] + [len(ids) // 2 for _, ids in each])
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+        scores = pa.array([score / UNIT for score, _ in each], pa.float64())
+        ends = np.cumsum([0] + [0 if g is None else len(g) for g in got])
+        offsets = pa.array(ends, pa.int32(), mask=np.array([g is None for g in got] + [False]))
+        lists = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([scores, ids], ["score", "ids"]))
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), lists], names=["doc_id", "segmentations"])
+
+    for batch in batches:
+        keys, got, held = [], [], 0
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            own = pieces.segmentations(text.as_py()) if text.is_valid else None
+            keys.append(key)
+            got.append(own)
+            held += sum(len(ids) for _, ids in own or ())
+            if held > OUT_BYTES:
+                yield out(keys, got)
+                keys, got, held = [], [], 0
+        yield out(keys, got)
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], pieces: Pieces) -> Iterator[pa.RecordBatch]:
+    """(doc_id, segmentations, decodings) of batches (doc_id, segmentations), in batches of about ``OUT_BYTES``."""
+    for batch in batches:
+        start, held, rows = 0, 0, []
+        for i, row in enumerate(batch.column(1)):
+            rows.append([pieces.decode(x["ids"].values.to_numpy()) for x in row] if row.is_valid else None)
+            held += sum(map(len, rows[-1] or ()))
+            if held > OUT_BYTES or i + 1 == batch.num_rows:
+                texts = pa.array(rows, pa.list_(pa.string()))
+                names = ["doc_id", "segmentations", "decodings"]
+                yield pa.RecordBatch.from_arrays([*batch.slice(start, len(rows)).columns, texts], names=names)
+                start, held, rows = i + 1, 0, []
+
+
+def _best(got: DataFrame, *more: str) -> DataFrame:
+    ids, scores = F.get("segmentations", F.lit(0))["ids"], F.col("segmentations.score")
+    return got.select("doc_id", ids.alias("ids"), scores.alias("scores"), "segmentations", *more)
+
+
 def encode(docs: DataFrame, model_path: str, n_best: int = N_BEST) -> DataFrame:
-    """(doc_id, ids, scores) of rows (doc_id, text): the best segmentation, and the scores of the n best."""
+    """(doc_id, ids, scores, segmentations) of rows (doc_id, text): the n best (score, ids), best first; ids are the best's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _pieces(model_path, n_best)
-        for batch in batches:
-            got = [(None, None) if t is None else pieces.n_best_of(t) for t in batch.column(1).to_pylist()]
-            flat = [None if g[0] is None else np.frombuffer(g[0], "<u2") for g in got]
-            ends = np.cumsum([0] + [0 if x is None else len(x) for x in flat])
-            values = np.concatenate([np.empty(0, "<u2"), *[x for x in flat if x is not None]]).astype(np.int32)
-            offsets = pa.array(ends, pa.int32(), mask=np.array([x is None for x in flat] + [False]))
-            ids = pa.ListArray.from_arrays(offsets, pa.array(values))
-            scores = pa.array([None if s is None else [x / UNIT for x in s] for _, s in got], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, scores], names=["doc_id", "ids", "scores"])
+        return _encoded(batches, _pieces(model_path, n_best))
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>, scores array<double>")
+    return _best(docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, segmentations {_SEGMENTATIONS}"))
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
-    """(doc_id, ids, scores, decoded) of ``encode``'s rows."""
+    """(doc_id, ids, scores, segmentations, decodings, decoded) of ``encode``'s rows: the text of each, and of the best."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _pieces(model_path, N_BEST)
-        for batch in batches:
-            texts = [pieces.decode(x.values.to_numpy()) if x.is_valid else None for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
+        return _decoded(batches, _pieces(model_path, N_BEST))
+
+    got = encoded.select("doc_id", "segmentations").mapInArrow(run, _DECODED)
+    return _best(got, "decodings").withColumn("decoded", F.get("decodings", F.lit(0)))
 
-    names = ["doc_id", "ids", "scores"]
-    return encoded.select(*names).mapInArrow(run, "doc_id long, ids array<int>, scores array<double>, decoded string")
+
+def round_trip(docs: DataFrame, model_path: str, n_best: int = N_BEST) -> DataFrame:
+    """(doc_id, segmentations, decodings): ``encode`` and ``decode`` in one worker, as it needs the vocabulary once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = _pieces(model_path, n_best)
+        return _decoded(_encoded(batches, pieces), pieces)
+
+    return docs.select("doc_id", "text").mapInArrow(run, _DECODED)
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document encoded, decoded and compared: n_pieces and hash of the best ids, scores of the n best, hash of the decoded text."""
+    """Every document encoded, decoded and compared: n_pieces and hash of the best ids, scores of the n best, hash of the
+    decoded text; and of each of the n best its score, n_pieces, hash of ids and hash of its decoded text."""
     path = default_model_path()
     docs = pick(documents(spark, sf_dir), "doc_id", "text")
-    out = decode(encode(docs, path), path)
-    return out.select(
+    out = round_trip(docs, path)
+    each = F.transform(
+        F.arrays_zip("segmentations", "decodings"),
+        lambda x: F.struct(
+            x["segmentations"]["score"].alias("score"),
+            F.size(x["segmentations"]["ids"]).cast("bigint").alias("n_pieces"),
+            F.xxhash64(x["segmentations"]["ids"]).alias("ids_xxhash64"),
+            F.sha2(x["decodings"], 256).alias("decoded_sha256"),
+        ),
+    )
+    return out.select("doc_id", each.alias("n_best")).select(
         "doc_id",
-        F.size("ids").cast("bigint").alias("n_pieces"),
-        F.xxhash64("ids").alias("ids_xxhash64"),
-        "scores",
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.get("n_best", F.lit(0))["n_pieces"].alias("n_pieces"),
+        F.get("n_best", F.lit(0))["ids_xxhash64"].alias("ids_xxhash64"),
+        F.col("n_best.score").alias("scores"),
+        F.get("n_best", F.lit(0))["decoded_sha256"].alias("decoded_sha256"),
+        "n_best",
     )

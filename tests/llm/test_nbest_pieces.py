@@ -68,3 +68,38 @@ def test_query(spark):
     sha = {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in spark.read.parquet(f"{d}/documents.parquet").collect()}
     rows = N.op7_sentencepiece(spark, d).collect()
     assert {r.doc_id: r.decoded_sha256 for r in rows} == sha and np.all([r.n_pieces > 0 for r in rows])
+
+
+def test_every_segmentation_is_returned(spark, awkward, small_docs):
+    path = N.default_model_path()
+    pieces = N.Pieces(path)
+    for docs in (awkward, small_docs.limit(60)):
+        rows = N.decode(N.encode(docs, path), path).join(docs.select("doc_id", "text").distinct(), "doc_id").collect()
+        for r in rows:
+            if r.text is None or r.doc_id == 3:  # two texts have id 3
+                continue
+            want = [(s / N.UNIT, x.tolist()) for s, x in pieces.encodings(r.text)]
+            assert [(x.score, x.ids) for x in r.segmentations] == want
+            assert r.decodings == [r.text] * len(want) and r.ids == want[0][1] and r.decoded == r.text
+
+
+def test_query_digests_each_segmentation(spark):
+    d = "/root/testdata/sf0.001"
+    pieces = N.Pieces(N.default_model_path())
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{d}/documents.parquet").collect()}
+    rows = N.op7_sentencepiece(spark, d).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        sha = hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+        want = [(s / N.UNIT, len(x), sha) for s, x in pieces.encodings(texts[r.doc_id])]
+        assert [(x.score, x.n_pieces, x.decoded_sha256) for x in r.n_best] == want
+        assert len({x.ids_xxhash64 for x in r.n_best}) == len(want)
+        assert (r.n_pieces, r.ids_xxhash64, r.decoded_sha256) == (want[0][1], r.n_best[0].ids_xxhash64, sha)
+        assert r.scores == [x[0] for x in want]
+
+
+def test_n_best_are_distinct_where_totals_tie(pieces):
+    for text in ("x" * 40, "ab" * 30 + " " + "-" * 50, "=" * 80, "aaaa bbbb " * 9):
+        got = pieces.encodings(text)
+        assert len({x.tobytes() for _, x in got}) == len(got) == 5
+        assert all(pieces.decode(x) == text for _, x in got)
