@@ -7,7 +7,8 @@ gives the best score from the start to each node.  The N best segmentations are
 found by A-star from the end: what a partial path still lacks is exactly the
 forward score of its node, so paths come out in order of their total.
 
-White space is written as the block sign, with one in front.  No piece has a
+A blank is written as the block sign, with one in front; a block sign of the text
+itself is always its three byte pieces, so decoding tells the two apart.  No piece has a
 block sign after another character (checked when the model is loaded), so no
 segmentation crosses the start of a run of signs: the lattice falls apart
 into blocks, mostly words.  A task keeps the best segmentation of the blocks it
@@ -45,6 +46,8 @@ BYTE_PENALTY = 10.0
 UNIT = 1_000_000
 #: Blocks that a task remembers; when full it starts afresh.
 MEMO_ENTRIES = 600_000
+#: Stands in the lattice for a block sign of the text itself; no text has it, as it is half a surrogate.
+LITERAL = "\ud800"
 #: Bytes of segmentations, or characters of texts, after which a task hands a batch on.
 OUT_BYTES = 4_000_000
 _SEGMENTATIONS = "array<struct<score: double, ids: array<int>>>"
@@ -52,6 +55,12 @@ _DECODED = f"doc_id long, segmentations {_SEGMENTATIONS}, decodings array<string
 
 _BLOCK = re.compile(f"{SIGN}+[^{SIGN}]*|[^{SIGN}]+")
 
+
+def _raw(char: str) -> bytes:
+    """The UTF-8 bytes of a character of the lattice."""
+    return (SIGN if char == LITERAL else char).encode()
+
+
 Edge = tuple[int, int, bytes]  # (start node, score, ids as little-endian uint16)
 
 
@@ -98,10 +107,10 @@ class Pieces:
         #: Every beginning of a piece; its (score, ids) if it is one, else None.
         self.prefixes: dict[str, tuple[int, bytes] | None] = {p[:i]: None for p in self.ids for i in range(1, len(p))}
         self.prefixes |= self.ids
-        raw = [b"" if t is None else bytes([t]) if isinstance(t, int) else t.encode() for t in self.texts]
+        raw = [b"" if t is None else bytes([t]) if isinstance(t, int) else t.replace(SIGN, " ").encode() for t in self.texts]
         self.raw = np.array(raw, object)
-        if any(SIGN in p.lstrip(SIGN) for p in self.ids) or size > 65_535:
-            raise ValueError("the vocabulary joins words, or has too many pieces")
+        if SIGN not in self.ids or any(SIGN in p.lstrip(SIGN) for p in self.ids) or size > 65_535:
+            raise ValueError("the vocabulary joins words, has no block sign, or has too many pieces")
         self.memo: dict[str, tuple[bytes, int, int | None]] = {}  # what lookup gives
         self.lists: dict[str, list[tuple[int, bytes]]] = {}
 
@@ -113,7 +122,7 @@ class Pieces:
                 if known := self.ids.get(block[i:j]):
                     out[j].append((i, *known))
             if block[i] not in self.ids:
-                raw = block[i].encode()
+                raw = _raw(block[i])
                 out[i + 1].append((i, self.byte_score * len(raw), b"".join(self.bytes[b] for b in raw)))
         return out
 
@@ -160,7 +169,7 @@ class Pieces:
             piece = step(block[i], False)
             known = piece is not False
             if not piece:  # no piece of its own: the bytes of the character
-                raw = block[i].encode()
+                raw = _raw(block[i])
                 piece = (self.byte_score * len(raw), b"".join([self.bytes[b] for b in raw]))
             while True:
                 if piece:
@@ -188,7 +197,7 @@ class Pieces:
         return b"".join(parts), best[n], None if second[n] is None else best[n] - second[n]
 
     def blocks(self, text: str) -> list[str]:
-        return _BLOCK.findall(SIGN + text.replace(" ", SIGN)) if text else []
+        return _BLOCK.findall(SIGN + text.replace(SIGN, LITERAL).replace(" ", SIGN)) if text else []
 
     def _found(self, text: str) -> tuple[list[str], list[tuple[bytes, int, int | None]]]:
         """The blocks of a text and what lookup gives for each."""
@@ -243,9 +252,9 @@ class Pieces:
         return [(score, np.frombuffer(ids, "<u2")) for score, ids in self.segmentations(text)]
 
     def decode(self, ids: np.ndarray) -> str:
-        """The text of a segmentation: pieces joined, byte pieces as UTF-8, without the first sign."""
+        """The text of a segmentation: signs as blanks, byte pieces as UTF-8, without the first blank."""
         raw = b"".join(self.raw[ids].tolist())
-        return raw.decode().replace(SIGN, " ")[1:]
+        return raw.decode()[1:]
 
 
 _LOADED: dict[tuple, Pieces] = {}

@@ -103,3 +103,14 @@ def test_n_best_are_distinct_where_totals_tie(pieces):
         got = pieces.encodings(text)
         assert len({x.tobytes() for _, x in got}) == len(got) == 5
         assert all(pieces.decode(x) == text for _, x in got)
+
+
+def test_literal_block_signs_round_trip(spark, pieces):
+    texts = ["▁", "▁▁ ▁", "▁ a", "a▁b c", "  ▁", "load ▁▂▃▅▇ done", "the▁cat▁ sat"]
+    for text in texts:
+        got = pieces.encodings(text)
+        assert [pieces.decode(x) for _, x in got] == [text] * len(got)
+        assert len({x.tobytes() for _, x in got}) == len(got)
+    path = N.default_model_path()
+    rows = N.decode(N.encode(spark.createDataFrame(enumerate(texts), "doc_id long, text string"), path), path).collect()
+    assert all(set(r.decodings) == {texts[r.doc_id]} and r.decoded == texts[r.doc_id] for r in rows) and len(rows) == 7
