@@ -1,4 +1,4 @@
-"""Document fingerprints: order MinHash over words.
+"""Document fingerprints: order MinHash over words and over code points.
 
 A text's k-mers (``K`` words in a row; a shorter text is one k-mer) get
 occurrence numbers, so that a repeated k-mer counts as different elements.
@@ -9,6 +9,12 @@ only if both texts agree on its k-mers and on their order, which follows
 edit distance rather than set overlap.  Likeness is the share of equal bins
 among those filled in either text.
 
+Word k-mers see nothing of the inside of a word: a text without white space is one
+k-mer, however long.  So each text has a second fingerprint over the k-mers of its code points
+(``K_CHARS`` in a row, one ending at each code point, with signs put before the text; white space
+counts), by the same rule for every text.  There a k-mer is known by 36 bits of its hash, and its
+position has the other 28 bits: a text may have 268 million code points.
+
 Everything is array expressions inside one projection: no user function, and
 k-mers are never shuffled.  Occurrence numbers come from runs of equal hashes in a
 sorted array, so the work is O(n log n) in the text length.
@@ -19,9 +25,9 @@ by the beginning of the next document.  The order of ids is found on ids alone
 the two joins, and between them only the beginnings.
 
 Defined results: a null text counts as empty; a text without words has an empty
-fingerprint, like 1 to another such and 0 to the rest; of rows that share a
+word fingerprint, and an empty text an empty code point fingerprint, like 1 to another such and 0 to the rest; of rows that share a
 doc_id, each is a document, and the id before takes the smallest of their
-texts for its tail and the smallest of their fingerprints for near_next; a row
+texts for its tail and the smallest of their fingerprints for near_next and near_next_chars; a row
 with null doc_id has an empty text as its next document and is nobody's next; an only document is its own next; an empty
 table gives no rows; other columns are ignored.
 """
@@ -36,6 +42,9 @@ from kinspark.llm.common import bind, documents, stage, words
 K = 2
 L = 2
 BINS = 32
+K_CHARS = 8
+_BEFORE = "\uffff"  # stands before a text, so that k-mers of code points end at each of its own
+_PLACE = 28  # lower bits of an element: its position; the others are its k-mer's hash
 _SHIFT = 59  # the upper five bits of a hash are its bin
 
 
@@ -73,6 +82,20 @@ def _bin(r: Column) -> Column:
     return F.shiftrightunsigned(r, _SHIFT).cast("int")
 
 
+def _tuples(c: Column, size: int) -> Column:
+    """(bin, hash of its k-mers in text order) of chosen (bin, position, k-mer), sorted."""
+    heads = F.filter(
+        F.transform(c, lambda x, i: F.struct(x["bin"].alias("bin"), i.alias("i"))),
+        lambda y: F.coalesce(F.get(c, y["i"] - 1)["bin"] != y["bin"], F.lit(True)),
+    )
+
+    def value(y: Column) -> Column:
+        own = [F.when(F.get(c, y["i"] + j)["bin"] == y["bin"], F.get(c, y["i"] + j)["h"]) for j in range(size)]
+        return F.struct(y["bin"].alias("bin"), F.xxhash64(*own).alias("value"))
+
+    return F.transform(heads, value)
+
+
 def sketch(text: Column, k: int = K, size: int = L) -> Column:
     """array<struct<bin, value>> of the filled bins, by bin."""
 
@@ -92,21 +115,7 @@ def sketch(text: Column, k: int = K, size: int = L) -> Column:
                     )
                 )
 
-            def tuples(c: Column) -> Column:  # c: chosen (bin, position, k-mer), sorted
-                heads = F.filter(
-                    F.transform(c, lambda x, i: F.struct(x["bin"].alias("bin"), i.alias("i"))),
-                    lambda y: F.coalesce(F.get(c, y["i"] - 1)["bin"] != y["bin"], F.lit(True)),
-                )
-
-                def value(y: Column) -> Column:
-                    own = [
-                        F.when(F.get(c, y["i"] + j)["bin"] == y["bin"], F.get(c, y["i"] + j)["h"]) for j in range(size)
-                    ]
-                    return F.struct(y["bin"].alias("bin"), F.xxhash64(*own).alias("value"))
-
-                return F.transform(heads, value)
-
-            return bind(bind(F.sort_array(r), least), tuples)
+            return bind(bind(F.sort_array(r), least), lambda c: _tuples(c, size))
 
         return bind(_numbered(h), choose)
 
@@ -116,6 +125,82 @@ def sketch(text: Column, k: int = K, size: int = L) -> Column:
     )
 
 
+def _char_elements(text: Column, k: int) -> Column:
+    """Sorted (k-mer's hash, position) in one number for each code point: the k-mer that ends there."""
+    wide = F.encode(F.concat(F.lit(_BEFORE * (k - 1)), text), "UTF-32")  # four bytes each
+
+    def hashes(b: Column) -> Column:
+        at = F.sequence(F.lit(0), F.length(text) - 1)
+
+        def one(i: Column) -> Column:
+            h = F.xxhash64(F.substring(b, i * 4 + 1, F.lit(4 * k)))
+            return F.shiftleft(h, _PLACE).bitwiseOR(i.cast("bigint"))
+
+        return F.transform(at, one)
+
+    return F.sort_array(bind(wide, hashes))
+
+
+def char_sketch(text: Column, k: int = K_CHARS, size: int = L) -> Column:
+    """``sketch`` over k-mers of code points, one that ends at each code point; before the text stand k - 1 signs."""
+
+    def kmer(x: Column) -> Column:
+        return F.shiftrightunsigned(x, _PLACE)
+
+    def number(s: Column) -> Column:  # hash of (k-mer, occurrence number) for each of s
+        starts = F.filter(
+            F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (kmer(F.get(s, i - 1)) != kmer(F.get(s, i)))
+        )
+
+        def runs(first: Column) -> Column:
+            def count(start: Column, j: Column) -> Column:
+                return F.sequence(F.lit(0), F.coalesce(F.get(first, j + 1), F.size(s)) - start - 1)
+
+            return F.zip_with(s, F.flatten(F.transform(first, count)), lambda x, o: F.xxhash64(kmer(x), o))
+
+        return bind(starts, runs)
+
+    def select(s: Column) -> Column:
+        def choose(r: Column) -> Column:
+            def rank(x: Column) -> Column:
+                return F.shiftrightunsigned(F.shiftleft(x, 64 - _SHIFT), 64 - _SHIFT)
+
+            def least(at: Column) -> Column:  # of the elements at these places of s; per bin the `size` least, in text order
+                ranked = F.sort_array(
+                    F.transform(
+                        at,
+                        lambda i: F.struct(
+                            _bin(F.get(r, i)).alias("bin"),
+                            rank(F.get(r, i)).alias("rank"),
+                            F.get(s, i).bitwiseAND(F.lit((1 << _PLACE) - 1)).alias("p"),
+                            kmer(F.get(s, i)).alias("h"),
+                        ),
+                    )
+                )
+                first = bind(
+                    ranked,
+                    lambda c: F.filter(
+                        c, lambda x, i: F.coalesce(F.get(c, i - size)["bin"] != x["bin"], F.lit(True))
+                    ),
+                )
+                return F.sort_array(F.transform(first, lambda x: F.struct(x["bin"], x["p"], x["h"])))
+
+            # the least are among the elements of low rank, of which a long text needs a small share; looked at again if not
+            n, every = F.size(s), F.sequence(F.lit(0), F.size(s) - 1)
+            low = ((F.lit(1 << _SHIFT) / n) * (16 * BINS)).cast("bigint")
+            few = F.filter(every, lambda i: rank(F.get(r, i)) < low)
+            found = bind(
+                F.when(n > 16 * BINS, least(few)),
+                lambda c: F.when(F.size(c) == size * BINS, c).otherwise(least(every)),
+            )
+            return bind(found, lambda c: _tuples(c, size))
+
+        return bind(number(s), choose)
+
+    none = F.array().cast("array<struct<bin:int,value:bigint>>")
+    return F.when(F.length(text) > 0, bind(_char_elements(text, k), select)).otherwise(none)
+
+
 def as_text(s: Column) -> Column:
     """The sketch as a string: two hex digits of the bin and eight of its value, per filled bin."""
     return F.array_join(
@@ -164,7 +249,8 @@ def next_ids(ids: DataFrame) -> DataFrame:
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
+    """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next (of word k-mers),
+    char_fingerprint, edited_char_fingerprint, near_edited_chars, near_next_chars (of code point k-mers)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
     placed = plain.where("doc_id IS NOT NULL")  # joined twice below; nothing but the scan is under the exchanges
@@ -185,15 +271,21 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.sha2("edited", 256).alias("edited_sha256"),
         as_text(sketch(F.col("text"))).alias("fingerprint"),
         as_text(sketch(F.col("edited"))).alias("edited_fingerprint"),
+        as_text(char_sketch(F.col("text"))).alias("char_fingerprint"),
+        as_text(char_sketch(F.col("edited"))).alias("edited_char_fingerprint"),
     )
     prints = stage(prints, "fingerprints")
-    one = prints.groupBy("doc_id").agg(F.min("fingerprint").alias("fingerprint"))
-    following = one.select(F.col("doc_id").alias("next_id"), F.col("fingerprint").alias("next"))
-    following = order.select("doc_id", "next_id").join(following, "next_id").select("doc_id", "next")
+    one = prints.groupBy("doc_id").agg(F.min("fingerprint").alias("next"), F.min("char_fingerprint").alias("next_char"))
+    following = one.withColumnRenamed("doc_id", "next_id")
+    following = order.select("doc_id", "next_id").join(following, "next_id").drop("next_id")
+    chars = ["char_fingerprint", "edited_char_fingerprint"]
     return prints.join(following, "doc_id", "left").select(
-        *prints.columns,
+        *[c for c in prints.columns if c not in chars],
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.coalesce("next", F.lit(""))).alias("near_next"),
+        *chars,
+        likeness(F.col("char_fingerprint"), F.col("edited_char_fingerprint")).alias("near_edited_chars"),
+        likeness(F.col("char_fingerprint"), F.coalesce("next_char", F.lit(""))).alias("near_next_chars"),
     )
 
 
