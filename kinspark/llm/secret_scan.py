@@ -59,11 +59,19 @@ RULES = (
     ),
     Rule("access", 1, r"AKIA[A-Z0-9]+", least=18, hints=("akia",)),
     Rule("hex", 1, r"[0-9a-f]{16,}"),  # runs are maximal, so shorter ones need no look
-    Rule("private_key", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END [A-Z ]*PRIVATE KEY-----)?", hints=("private key-----",)),
+    # to the END over any text but another BEGIN; without an END, header lines and key lines with plain or escaped breaks
+    Rule(
+        "private_key",
+        2,
+        r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+        r"(?:(?:(?!-----BEGIN )[\s\S])*?-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+        r"|(?:(?:\s|\\+[rnt])*+[A-Za-z-]++:[^\n\\]*+)*+(?:\\+(?:[rnt/]|u[0-9A-Fa-f]{4})|[A-Za-z0-9+/=\s])*+)",
+        hints=("private key",),
+    ),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", hints=("eyj",)),
     Rule("github", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", hints=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("slack", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}", hints=("xox",)),
-    Rule("url_login", 1, r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:[^\s/@]{3,64}@", hints=("://",)),
+    Rule("url_login", 2, r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]++:[^\s/@]{3,}+@", hints=("://",)),
 )
 
 
