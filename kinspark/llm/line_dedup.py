@@ -2,11 +2,16 @@
 
 State is a set of *runs* in shared storage: Parquet tables sorted by line hash,
 one row (hash, documents holding the line, largest such doc_id) per line.  A
-batch of documents is hashed once, reduced to one row per line, merge-joined
-against the runs (``LineRuns.unseen``: the lines no run has) and added as a new
-run of level 0.  When a level holds ``fanout`` runs, they are merged into one
+batch of documents is hashed once, reduced to one row per line and added as a new
+run of level 0, whether or not other runs hold its lines; the rows of a line are
+summed when runs are merged and when they are read.  Counting takes the place of a
+merge anti join of each batch against the runs: a line is dropped for how many
+documents hold it, so the known lines of a batch count as well as the new ones, and
+both would be summed in the end.  ``LineRuns.unseen`` (the lines no run has) is that
+anti join for callers who want only new lines; ``dedup_lines`` doesn't call it.  When a level holds ``fanout`` runs, they are merged into one
 run of the next level, so n batches leave O(fanout * log n) runs and each row
-is rewritten O(log n) times.  Every step is a shuffle by hash with partial
+is rewritten O(log n) times.  Merging is a hash aggregate over the union of the runs
+and doesn't use their order.  Every step is a shuffle by hash with partial
 aggregation, so a line that a third of all documents share is one row per task
 before it moves.
 
