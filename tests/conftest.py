@@ -7,22 +7,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from kinspark.session import local_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
-
-
 @pytest.fixture(scope="session")
 def spark():
     s = local_session(4)
     yield s
     s.stop()
-
-
-def write_lines(path, lines, bom=False, crlf=False):
-    end = "\r\n" if crlf else "\n"
-    text = end.join(lines) + end
-    with open(path, "w", encoding="utf-8", newline="") as f:
-        if bom:
-            f.write("﻿")
-        f.write(text)
-    return str(path)

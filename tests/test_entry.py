@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"

@@ -1,6 +1,6 @@
 """Plan shape guards: the properties the design relies on at scale."""
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from kinspark.operators.collab import collaborative_similarity
 from kinspark.operators.rules import association_rules
 from kinspark.plans.views import flat_basket, implicit

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import write_lines
+from helpers import write_lines
 from kinspark.operators.ratings import (
     error_metrics,
     evaluate_builtin,

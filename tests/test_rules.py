@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, write_lines
+from helpers import SF_SMALL, write_lines
 from kinspark.operators.baskets import basket_count, basket_pairs, item_support, flatten_baskets, item_frequency, pair_frequency
 from kinspark.operators.rules import association_rules, rule_stats, rules_per_antecedent, top_rules
 from kinspark.plans.pipelines import basket_rules, run_basket_rules

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import write_lines
+from helpers import write_lines
 from kinspark.functions.text import java_split
 from kinspark.operators.retail import (
     distinct_countries,
