@@ -1,0 +1,131 @@
+import math
+import re
+from collections import Counter
+from hashlib import sha256
+from zlib import crc32
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from kinspark.llm import importance as I
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def model_features(text):
+    w = WORD.findall((text or "").translate(LOWER))
+    return len(w), [crc32(x.encode()) % 10_000 for x in w + [f"{a} {b}" for a, b in zip(w, w[1:], strict=False)]]
+
+
+def model(rows, target, percent=25):
+    """(n_features, weight, score, rank) of each row, by the definition."""
+    found = [model_features(t) for _, t in rows]
+    s, t = Counter(b for _, f in found for b in f), Counter(b for x in target for b in model_features(x)[1])
+    a, b = sum(s.values()) + 10_000, sum(t.values()) + 10_000
+    gain = [math.floor(1000 * math.log((t[k] + 1) * a / ((s[k] + 1) * b))) for k in range(10_000)]
+    out = []
+    for (i, _), (_, f) in zip(rows, found, strict=True):
+        weight = sum(gain[k] for k in f) // len(f) if f else 0
+        h = int(sha256(f"7:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        out.append([len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None])
+    able = [j for j in range(len(rows)) if found[j][0] >= 20]
+    able.sort(key=lambda j: (-out[j][2], math.inf if rows[j][0] is None else rows[j][0]))
+    for place, j in enumerate(able[: percent * len(able) // 100]):
+        out[j][3] = place + 1
+    return [tuple(o) for o in out]
+
+
+def buckets_of(texts, buckets=10_000):
+    out = [[] for _ in texts]
+    for first, _, text, bucket in I.feature_blocks(texts, buckets):
+        for i, b in zip(text.tolist(), bucket.tolist(), strict=True):
+            out[first + i].append(b)
+    return [sorted(x) for x in out]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.none() | st.text(alphabet="aB9 é漢😀-\x00\x80\n", max_size=60), max_size=8), st.integers(0, 3))
+def test_features(texts, skip):
+    column = pa.array(texts, pa.string())[skip:]
+    assert buckets_of(column) == [sorted(model_features(t)[1]) for t in texts[skip:]]
+
+
+def test_features_in_small_blocks(monkeypatch):
+    texts = ["x" * n + " " + "y" * (n + 1) + " z" for n in (1, 30, 31, 32, 33, 5000)] + ["", None, "a b c d e f g h"] * 3
+    want = [sorted(model_features(t)[1]) for t in texts]
+    monkeypatch.setattr(I, "_WORDS", 3)
+    monkeypatch.setattr(I, "_BLOCK", 20)
+    assert buckets_of(pa.array(texts)) == want
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.binary(max_size=12), st.binary(max_size=80)), min_size=1, max_size=10))
+def test_joined_crc(pairs):
+    first, second = (np.array([crc32(p[i]) for p in pairs], np.int64) for i in (0, 1))
+    got = I.joined_crc(first, second, np.array([len(b) for _, b in pairs]))
+    assert got.tolist() == [crc32(a + b) for a, b in pairs]
+
+
+def check(docs, target, rows):
+    got = Counter((r.doc_id, r.n_features, r.weight, r.score, r.rank) for r in I.resample(docs, target).collect())
+    want = Counter((i, *m) for (i, _), m in zip(rows, model(rows, [r.text for r in target.collect()]), strict=True))
+    return got, want
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    target = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    got, want = check(docs, target, [(r.doc_id, r.text) for r in docs.collect()])
+    assert got == want and sum(1 for k in got if k[4]) > 10
+
+
+def test_awkward(spark, awkward, no_rows):
+    target = spark.createDataFrame([("the of and a to",), (None,), ("",), ("漢字 é",)], "text string")
+    rows = [(r.doc_id, r.text) for r in awkward.collect()]
+    got, want = check(awkward, target, rows)
+    # repeated rows tie in everything but the place among them, so ranks are compared as a set
+    assert Counter({k[:4]: 0 for k in got}).keys() == {k[:4] for k in want}
+    assert sorted(k[4] for k in got.elements() if k[4]) == sorted(k[4] for k in want.elements() if k[4])
+    assert I.resample(no_rows, target).collect() == []
+    no_target = spark.createDataFrame([], "text string")
+    assert I.resample(awkward, no_target).count() == len(rows)
+
+
+def scored(spark, n, score):
+    cols = ["id AS doc_id", "CAST(1 AS BIGINT) AS n_features", "CAST(0 AS BIGINT) AS weight", f"CAST({score} AS BIGINT) AS score", "id % 10 <> 3 AS drawable"]
+    return spark.range(n).repartition(7).selectExpr(*cols)
+
+
+def test_ranks_over_many_segments_with_hot_scores(spark):
+    """A third of all rows share one score; segments stay balanced and ranks exact."""
+    rows = scored(spark, 20_000, "CASE WHEN id % 3 = 0 THEN 500 ELSE pmod(id * 7919, 1000) END")
+    out = I.ranked(rows, 40, segment_rows=500, samples=64)
+    got = {r.doc_id: r["rank"] for r in out.collect()}
+    able = sorted((r for r in rows.collect() if r.drawable), key=lambda r: (-r.score, r.doc_id))
+    drawn = 40 * len(able) // 100
+    assert got == {r.doc_id: None for r in rows.collect()} | {r.doc_id: i + 1 for i, r in enumerate(able[:drawn])}
+    keyed = rows.where("drawable").selectExpr("-score AS down", "doc_id AS id_key", "CAST(0 AS BIGINT) AS row")
+    samples = I.regular_samples(keyed, 64)
+    assert len(samples) <= 64 * keyed.rdd.getNumPartitions()
+    cuts = I.splitters(samples, 10)
+    sizes = I._with_segment(keyed, cuts).groupBy("segment").agg(F.count("*").alias("n")).collect()
+    assert max(r.n for r in sizes) < 2 * 18_000 / 10
+
+
+def test_equal_rows_are_split(spark):
+    """All rows equal: the row number still deals them out."""
+    rows = spark.range(3_000).selectExpr("CAST(5 AS BIGINT) AS doc_id", "CAST(1 AS BIGINT) AS n_features", "CAST(0 AS BIGINT) AS weight", "CAST(9 AS BIGINT) AS score", "true AS drawable")
+    got = I.ranked(rows, 50, segment_rows=100).collect()
+    assert sorted(r["rank"] for r in got if r["rank"]) == list(range(1, 1501)) and len(got) == 3_000
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(*[st.integers(-2, 2)] * 3), max_size=6), st.lists(st.tuples(*[st.integers(-3, 3)] * 3), min_size=1, max_size=20))
+def test_segment_of(cuts, keys):
+    cuts = sorted(cuts)
+    got = I.segment_of(np.array(keys), np.array(cuts, np.int64).reshape(-1, 3))
+    assert got.tolist() == [sum(c <= k for c in cuts) for k in keys]

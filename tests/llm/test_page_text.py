@@ -1,0 +1,168 @@
+import re
+import time
+from html.parser import HTMLParser
+
+import pytest
+
+from kinspark.llm import page_text as P
+
+LONG = "A sentence of some length, with a comma and a full stop. Another one follows it, and ends."
+
+
+class Model(HTMLParser):
+    """Text of <article> by the standard parser, cut at p, h1 and article tags."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.blocks = False, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside = self.inside or tag == "article"
+        self.cut(tag)
+
+    def handle_endtag(self, tag):
+        self.cut(tag)
+        if tag == "article":
+            self.inside = False
+
+    def cut(self, tag):
+        if tag in ("p", "h1", "article"):
+            self.blocks.append("")
+        elif tag == "br":
+            self.blocks[-1] += " "
+
+    def handle_data(self, data):
+        if self.inside:
+            self.blocks[-1] += data
+
+
+def model_text(source):
+    m = Model()
+    m.feed(source)
+    m.close()
+    return "\n".join(b for b in (" ".join(x.split()) for x in m.blocks) if b)
+
+
+def test_equals_a_plain_reading_of_the_articles(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    rows = {r.page_id: r.html for r in pages.collect()}
+    got = P.op11_page_text(spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.text == model_text(rows[r.page_id]) and r.n_chars == len(r.text)
+
+
+BODY = f"<h1>Head &amp; line</h1><p>{LONG}</p><p>Short.</p><p>{LONG} <b>Bold</b>end</p>"
+WANT = f"Head & line\n{LONG}\nShort.\n{LONG} Boldend"
+BOILER = (
+    "<nav><ul><li><a href='/'>Home</a></li><li><a href='/b'>About us, them and all.</a></li></ul></nav>",
+    "<header><div>The Daily. News, views, and more.</div></header>",
+    f"<aside><h2>More</h2><p>{LONG}</p></aside>",
+    f"<div class='sidebar'><p>{LONG}</p></div>",
+    f"<div id='cookie-notice'>{LONG}</div>",
+    f"<div class='ad'>{LONG}</div>",
+    f"<form><p>{LONG}</p><input value='x'><select><option>One<option>Two</select><button>Send</button></form>",
+    f"<script>var a = '</p><p>{LONG}';</script>",
+    "<style>p{margin:0} /* </p> */</style>",
+    f"<!-- <p>{LONG}</p> -->",
+    f"<section id='comments'><h3>Comments</h3><article class='comment'><p>{LONG} {LONG} {LONG}</p></article></section>",
+    f"<div class='comment-list'><div><p>{LONG} {LONG} {LONG} {LONG} {LONG}</p></div></div>",
+    f"<footer><p>&copy; {LONG}</p></footer>",
+    f"<div role='banner'>{LONG}</div>",
+    f"<div hidden><p>{LONG}</p></div>",
+    f"<p style='display: none'>{LONG}</p>",
+    f"<div class='newsletter-signup'><p>{LONG}</p></div>",
+    f"<noscript><p>{LONG}</p></noscript>",
+    f"<dialog open><p>{LONG}</p></dialog>",
+)
+FRAMES = (
+    "{a}<article>{body}</article>{z}",
+    "{a}<main>{body}</main>{z}",
+    "{a}<div class='content'>{body}</div>{z}",
+    "{a}<div class='page with-sidebar'><div id='main'>{body}</div>{z}</div>",
+    "{a}<main><article><header>By the desk.{head}</header>{rest}</article></main>{z}",
+    "{a}<table><tr><td>{body}</td></tr></table>{z}",
+    "{a}{body}{z}",
+)
+
+
+@pytest.mark.parametrize("frame", FRAMES)
+@pytest.mark.parametrize("boiler", BOILER)
+def test_boilerplate_goes_and_the_article_stays_whole(frame, boiler):
+    head, rest = BODY[: BODY.index("<p>")], BODY[BODY.index("<p>") :]
+    for a, z in ((boiler, ""), ("", boiler), (boiler, boiler)):
+        page = f"<!DOCTYPE html><html><head><title>T {LONG}</title></head><body>{frame.format(a=a, z=z, body=BODY, head=head, rest=rest)}</body></html>"
+        assert P.main_text(page) == WANT, page
+
+
+def test_all_boilerplate_at_once():
+    for frame in FRAMES[:4]:
+        page = frame.format(a="".join(BOILER), z="".join(BOILER), body=BODY)
+        assert P.main_text(page) == WANT
+
+
+@pytest.mark.parametrize("boiler", [b for b in BOILER if "comment" in b or "class='ad'" in b or "script" in b])
+def test_boilerplate_inside_the_article_goes(boiler):
+    assert P.main_text(f"<article>{BODY}{boiler}</article>") == WANT
+
+
+@pytest.mark.parametrize(
+    "source, want",
+    [
+        (None, ""),
+        ("", ""),
+        (" \n\t ", ""),
+        ("no tags at all, just text", "no tags at all, just text"),
+        ("<html><body></body></html>", ""),
+        ("<p>a &lt; b &#38; c &#x41; &nbsp; d&amp;amp; &unknown; &am", "a < b & c A d&amp; &unknown; &am"),
+        ("<p>one<br>two<br/>three", "one two three"),
+        ("<p><b>one<br><p>two</b><p>three", "one\ntwo\nthree"),
+        ("<ul><li>one<li>two<ul><li>three</ul><li>four</ul>", "one\ntwo\nthree\nfour"),
+        ("<p>un<i>brok</i>en<span> line </span></p>", "unbroken line"),
+        ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"),
+        ("text</p></div></b> goes </nonsense on> on", "text\ngoes on"),
+        ("<p>1 < 2 and 3 > 2 <3", "1 < 2 and 3 > 2 <3"),
+        ("<p title=\"a > b\">quoted</p><p title='x>y' data-a=b>too</p>", "quoted\ntoo"),
+        ("<p>kept<!-- gone <p>no</p> --> on</p>", "kept on"),
+        ("<p>kept<!-- never closed <p>no</p>", "kept"),
+        ("<p>kept</p><script>never closed <p>no</p>", "kept"),
+        ("<P>CASE</P><SCRIPT>no</SCRIPT><p>blind", "CASE\nblind"),
+        ("<p>cut in a tag</p><a hre", "cut in a tag"),
+        ("<article><p>Be.</p></article><div class='ad'>A much longer advert, with commas, and a stop.</div>", "Be."),
+        ("<article><p>Text.</p><ul><li><a href=a>one</a></li><li><a href=b>two</a></li></ul></article>", "Text."),
+        ("<article><p>Text.</p><ul><li>Try <a href=a>one</a></li><li><a href=b>two</a></li></ul></article>", "Text.\nTry one\ntwo"),
+        ("<article><p>First story, here.</p></article><article><p>Second.</p></article>", "First story, here.\nSecond."),
+        ("<dl><dt>a<dd>b<dt>c<dd>d</dl><pre>x\n  y</pre><blockquote>z</blockquote>", "a\nb\nc\nd\nx y\nz"),
+    ],
+)
+def test_small_pages(source, want):
+    assert P.main_text(source) == want
+
+
+def test_unnamed_boilerplate_falls_to_its_path_ratio():
+    links = "".join(f"<span><a href='/{i}'>Section {i}</a></span> " for i in range(8))
+    page = f"<body><div class='x1'>{links}</div><div class='x2'>{BODY}</div><div class='x3'>{links}</div></body>"
+    assert P.main_text(page) == WANT
+
+
+@pytest.mark.parametrize(
+    "source",
+    ["<" * 200_000, "<a" * 100_000, "<p a='" * 50_000, "<!--" * 50_000, "<script>" * 30_000, "</p>" * 60_000, "<div>" * 60_000]
+    + ["<div><p>x" * 20_000, "<b>" * 80_000 + "x", "&" * 200_000, "<a b=\"" + "x='>" * 50_000, "<li>x" * 20_000, "<p>a</div>" * 20_000],
+)
+def test_linear_in_the_page(source):
+    start = time.time()
+    P.main_text(source)
+    assert time.time() - start < 8
+
+
+def test_awkward_rows(spark):
+    rows = [(1, "u", f"<article>{BODY}</article>", "clash", 5)] * 2
+    rows += [(None, None, f"<p>{LONG}", None, None), (2, "v", None, "x", 1), (3, None, "", "x", 1), (4, "w", "<p>" + "long text. " * 200_000, "x", 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
+    got = sorted(P.extract(pages).collect(), key=lambda r: (r.page_id or 0, r.text))
+    assert [r.page_id for r in got] == [None, 1, 1, 2, 3, 4]
+    assert [r.text for r in got][:5] == [LONG, WANT, WANT, "", ""]
+    assert got[5].text == re.sub(" $", "", "long text. " * 200_000)
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    assert P.extract(none).collect() == []
