@@ -40,6 +40,7 @@ except ImportError as missing:
 SMOKE_DIR = "/root/testdata/sf0.001"
 TOP_K = 100
 MIN_SCORE = 0.1  # of the item-level content pairs; without a bound they grow with the square of the items
+MIN_SUPPORT, MIN_SUPPORT_BAG = 0.1, 5.0  # of the rules between words of documents
 DIGITS = 9  # rounding of order-dependent double sums (means, RMSE, MAE)
 
 
@@ -257,6 +258,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pair_frequency_bag": lambda s, d: B.pair_frequency(V.flat_basket(s, d), dedupe=False),
         # rules
         "association_rules_tiled": lambda s, d: R.association_rules(V.flat_basket(s, d), tile_rows=3),
+        "association_rules_min_support": lambda s, d: R.association_rules(V.word_basket(s, d), min_support=MIN_SUPPORT),
+        "association_rules_bag_min_support": lambda s, d: R.association_rules(
+            V.word_basket(s, d), dedupe=False, min_support=MIN_SUPPORT_BAG
+        ),
+        "pair_frequency_min_count": lambda s, d: B.pair_frequency(V.flat_basket(s, d), min_count=2),
+        "collab_similarity_min_count": lambda s, d: CO.collaborative_similarity(V.implicit(s, d), min_count=3),
         "basket_rules": lambda s, d: _listed_rules(s, d).rules,
         "basket_rules_per_antecedent": lambda s, d: _listed_rules(s, d).per_antecedent,
         "association_rules": lambda s, d: _rules(s, d),
@@ -328,6 +335,21 @@ SELECT p.a AS antecedent, p.b AS consequent, {ant} AS ant_support, {cons} AS con
 FROM p JOIN s x ON x.i = p.a JOIN s y ON y.i = p.b"""
 
 
+def _word_rules_sql(dedupe: bool, least: float) -> str:
+    """Rules between words of a least support.  Counts are per document and word; words below the bound are left out of the self-join."""
+    w, most = ("1", "COUNT(*)") if dedupe else ("COUNT(*)", "SUM(w * (total - w))")
+    return f"""
+WITH g AS (SELECT doc_id t, unnest(string_split(text, ' ')) i FROM documents),
+f AS (SELECT t, i, CAST({w} AS BIGINT) w FROM g WHERE i <> '' GROUP BY t, i),
+n AS (SELECT COUNT(DISTINCT t) n FROM f),
+s AS (SELECT i, CAST(SUM(w) AS BIGINT) c, CAST({most} AS BIGINT) most FROM (SELECT *, SUM(w) OVER (PARTITION BY t) total FROM f) q GROUP BY i),
+k AS (SELECT f.* FROM f JOIN s ON s.i = f.i, n WHERE CAST(most AS DOUBLE) / n >= {least}),
+p AS (SELECT a.i a, b.i b, CAST(SUM(a.w * b.w) AS BIGINT) c FROM k a JOIN k b ON a.t = b.t AND a.i <> b.i GROUP BY a.i, b.i),
+r AS (SELECT a antecedent, b consequent, CAST(x.c AS DOUBLE) / n ant_support, CAST(y.c AS DOUBLE) / n cons_support, CAST(p.c AS DOUBLE) / n support
+      FROM p JOIN s x ON x.i = p.a JOIN s y ON y.i = p.b, n)
+SELECT *, support / ant_support AS confidence, support / (ant_support * cons_support) AS lift FROM r WHERE support >= {least}"""
+
+
 _RULES = _rules_sql(_FLAT_SET, "COUNT(*)")
 _RULES_BAG = _rules_sql(_FLAT_BAG, "COUNT(*)")
 
@@ -489,6 +511,13 @@ WITH f AS ({_FLAT_BAG})
 SELECT a.i AS antecedent, b.i AS consequent, COUNT(*) AS n
 FROM f a JOIN f b ON a.t = b.t AND a.i <> b.i GROUP BY a.i, b.i""",
         "association_rules_tiled": _RULES,
+        "association_rules_min_support": _word_rules_sql(True, MIN_SUPPORT),
+        "association_rules_bag_min_support": _word_rules_sql(False, MIN_SUPPORT_BAG),
+        "pair_frequency_min_count": f"""
+WITH f AS ({_FLAT_SET})
+SELECT a.i AS antecedent, b.i AS consequent, COUNT(*) AS n
+FROM f a JOIN f b ON a.t = b.t AND a.i <> b.i GROUP BY a.i, b.i HAVING COUNT(*) >= 2""",
+        "collab_similarity_min_count": f"SELECT * FROM ({_COLLAB}) q WHERE n >= 3",
         "basket_rules": listed_rules,
         "basket_rules_per_antecedent": f"SELECT antecedent, COUNT(*) n_rules FROM ({listed_rules}) q GROUP BY antecedent",
         "retail_item_support": """

@@ -99,8 +99,12 @@ def pair_frequency(
     item_col: str = "item",
     dedupe: bool = True,
     tile_rows: int | None = DEFAULT_TILE_ROWS,
+    min_count: int | None = None,
 ) -> DataFrame:
-    """Baskets (or joined row pairs in bag form) per ordered (antecedent, consequent)."""
+    """Baskets (or joined row pairs in bag form) per ordered (antecedent, consequent).
+
+    ``min_count`` keeps pairs that count at least as much; items that can't leave before the self-join.
+    """
     return pair_counts(
         flat,
         trans_col,
@@ -111,4 +115,5 @@ def pair_frequency(
         a_col="antecedent",
         b_col="consequent",
         count_col="n",
+        min_count=min_count,
     )

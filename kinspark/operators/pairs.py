@@ -29,25 +29,43 @@ programs, planned for large, skewed tables:
   here is quadratic, hence the explicit tiles.)
 * **map-side combine**: the pair count is a partial + final hash aggregate;
   the partial step runs in the join's stage, before the shuffle.
-
-Which groups are hot comes from one partial aggregate of rows per group,
-counted in a small job before the plan is built: with no hot group the
+* **partitions by pair work**: a partition's cost is the sum of its squared
+  group sizes, which bytes say nothing about.  A histogram of group sizes
+  (:class:`Work`) gives the total work W; the join gets W / ``PAIRS_PER_TASK``
+  partitions (a number of its own, which AQE does not merge by bytes), and
+  groups with more than a ``TILES_PER_TASK``-th of a partition's work are tiled,
+  so that what hashing deals out is many small shares.
+* **lower bounds on counts come first**: no pair counts more than
+  :func:`item_bounds` says of either item, so for a least count the rows of items
+  below it leave before groups are sized, tiled and joined (:func:`reaching`).
+
+The histogram is one partial aggregate of rows per group, reduced to a few
+hundred rows in a small job before the plan is built: with no hot group the
 tiling path is left out entirely; otherwise the hot-group table (at most
-rows / tile_rows entries) is broadcast when its counted size is under
+rows / tile rows entries) is broadcast when its counted size is under
 ``HOT_BROADCAST_ROWS`` and shuffle-joined above it.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Largest number of rows a group may have before it is tiled.
 # A tile then holds at most ~tile_rows^2 / 2 candidate pairs (5e7 here).
 DEFAULT_TILE_ROWS = 10_000
 
+# No group of fewer rows is tiled for the balance of the work (1.3e5 candidate pairs).
+MIN_TILE_ROWS = 512
+
+# Candidate pairs a task of the self-join is meant to form, and the equal shares
+# that a partition's work should at least consist of.
+PAIRS_PER_TASK = 20_000_000
+TILES_PER_TASK = 32
+
 # Most hot groups whose (group, chunk count) table is broadcast; above this
 # count it is joined by a shuffle instead (each entry is two numbers).
 HOT_BROADCAST_ROWS = 1_000_000
@@ -103,6 +121,7 @@ class Members:
     normal: DataFrame
     hot: DataFrame | None
     n_groups: int | None = None  # distinct non-NULL groups, when counted
+    parts: int | None = None  # partitions that the pair work asks for
 
     def all(self) -> DataFrame:
         if self.hot is None:
@@ -110,19 +129,41 @@ class Members:
         return self.normal.unionByName(self.hot.drop("_nt"))
 
 
-def count_groups(sizes: DataFrame, tile_rows: int) -> tuple[int, int]:
-    """(groups, hot groups) from a (group, _m) table: one small aggregate job.
+@dataclass
+class Work:
+    """Group sizes of a (group, _m) table as a histogram: (largest size, groups, sum of squared sizes) per class."""
 
-    Its two numbers decide the plan: no tiling path at all when nothing is
-    hot (the usual case), a broadcast of the hot-group table only when the
-    counted size is under ``HOT_BROADCAST_ROWS``, a shuffle join above it.
-    The group count doubles as the basket count N.
-    """
-    row = sizes.agg(
-        F.count(F.lit(1)).alias("groups"),
-        F.count(F.when(F.col("_m") > F.lit(tile_rows), F.lit(1))).alias("hot"),
-    ).first()
-    return int(row["groups"]), int(row["hot"])
+    classes: list[tuple[int, int, float]]
+
+    @property
+    def groups(self) -> int:
+        return sum(n for _, n, _ in self.classes)
+
+    @property
+    def pairs(self) -> float:
+        """Candidate pairs of the self-join, about."""
+        return sum(q for *_, q in self.classes) / 2
+
+    def partitions(self, cores: int) -> int:
+        """One per ``PAIRS_PER_TASK``, and all cores once there is a tenth of that for each."""
+        return max(1, math.ceil(self.pairs / PAIRS_PER_TASK), min(cores, math.ceil(self.pairs * 10 / PAIRS_PER_TASK)))
+
+    def tile_rows(self, parts: int, most: int) -> int:
+        """Largest group left whole: a ``TILES_PER_TASK``-th of a partition's work, within the two bounds."""
+        share = math.isqrt(int(2 * self.pairs / (parts * TILES_PER_TASK)))
+        return min(most, max(MIN_TILE_ROWS, share))
+
+    def above(self, rows: int) -> int:
+        """Groups with more rows than that, or of a class that has such."""
+        return sum(n for m, n, _ in self.classes if m > rows)
+
+
+def group_work(sizes: DataFrame) -> Work:
+    """The histogram of a (group, _m) table: one small aggregate job, eight classes for each doubling of the size."""
+    kind = F.floor(F.log2(F.greatest("_m", F.lit(1))) * 8)
+    square = F.col("_m").cast("double") * F.col("_m")
+    found = sizes.groupBy(kind.alias("kind")).agg(F.max("_m").alias("m"), F.count(F.lit(1)).alias("n"), F.sum(square).alias("q"))
+    return Work([(int(r["m"]), int(r["n"]), float(r["q"])) for r in found.collect()])
 
 
 def split_members(
@@ -137,7 +178,9 @@ def split_members(
 
     ``sizes`` (group, _m) defaults to :func:`row_counts`; it may over-count a
     group's distinct items, which only gives that group more, smaller tiles.
-    With ``tile_rows`` set, the groups are counted first (:func:`count_groups`).
+    With ``tile_rows`` set, groups are counted first (:func:`group_work`): their
+    count doubles as the basket count N, and the pair work decides how many
+    partitions there are and from which size below ``tile_rows`` on groups are tiled.
     """
     rows = df.select(group_col, item_col).where(
         F.col(group_col).isNotNull() & F.col(item_col).isNotNull()
@@ -146,22 +189,57 @@ def split_members(
     if tile_rows is None:
         return Members(_weigh(rows.repartition(group_col), keys, dedupe), None)
     sizes = sizes if sizes is not None else row_counts(df, group_col, item_col)
-    n_groups, n_hot = count_groups(sizes, tile_rows)
+    work = group_work(sizes)
+    n_groups, parts = work.groups, work.partitions(df.sparkSession.sparkContext.defaultParallelism)
+    tile_rows = work.tile_rows(parts, tile_rows)
+    n_hot = work.above(tile_rows)
+    dealt = (parts, group_col) if parts > 1 else (group_col,)
     if n_hot == 0:
-        return Members(_weigh(rows.repartition(group_col), keys, dedupe), None, n_groups)
+        return Members(_weigh(rows.repartition(*dealt), keys, dedupe), None, n_groups, parts)
     hot_groups = sizes.where(F.col("_m") > F.lit(tile_rows)).select(
         group_col, F.ceil(F.col("_m") / F.lit(tile_rows)).cast("int").alias("_nt")
     )
     if n_hot <= HOT_BROADCAST_ROWS:
         hot_groups = F.broadcast(hot_groups)
     tagged = rows.join(hot_groups, on=group_col, how="left")
-    normal = tagged.where(F.col("_nt").isNull()).select(*keys).repartition(group_col)
+    normal = tagged.where(F.col("_nt").isNull()).select(*keys).repartition(*dealt)
     hot = tagged.where(F.col("_nt").isNotNull())
-    return Members(_weigh(normal, keys, dedupe), _weigh(hot, [*keys, "_nt"], dedupe), n_groups)
+    return Members(_weigh(normal, keys, dedupe), _weigh(hot, [*keys, "_nt"], dedupe), n_groups, parts)
+
+
+def item_bounds(memb: DataFrame, group_col: str, item_col: str) -> DataFrame:
+    """Per item of a (group, item, _w) table: ``freq`` (sum of weights) and ``most``, which no pair count of the item passes.
+
+    A basket adds w_a * w_b to a pair, at most w_a times the lesser of the basket's other weight and
+    its largest weight.  A basket's two numbers come from a partial aggregate, so a hot one is no more than a row.
+    """
+    totals = memb.groupBy(group_col).agg(F.sum("_w").alias("_all"), F.max("_w").alias("_top"))
+    seen = memb.join(totals, group_col)
+    return seen.groupBy(item_col).agg(F.sum("_w").alias("freq"), F.sum(F.expr("_w * least(_all - _w, _top)")).alias("most"))
+
+
+def reaching(
+    df: DataFrame, group_col: str, item_col: str, dedupe: bool, least: Column, per: Column | None = None
+) -> DataFrame:
+    """(item, freq) of the items that a pair counting ``least`` (or that share of ``per``) may hold.
+
+    In set form no pair counts more than its items' frequencies, in bag form not more than ``most``.
+    Counts are divided as the pair counts will be, so rounding can't part the two.
+    """
+    memb = members(df, group_col, item_col, dedupe)
+    stats = item_totals(memb, item_col, "freq") if dedupe else item_bounds(memb, group_col, item_col)
+    bound = F.col("freq" if dedupe else "most")
+    bound = bound if per is None else bound.cast("double") / per
+    return stats.where(bound >= least).select(item_col, "freq")
+
+
+def rows_of(df: DataFrame, group_col: str, item_col: str, items: DataFrame) -> DataFrame:
+    """The (group, item) rows of these items: what is split, tiled and joined after pruning."""
+    return df.select(group_col, item_col).join(items.select(item_col), item_col, "left_semi")
 
 
 def with_frequency(m: Members, freq: DataFrame, item_col: str) -> Members:
-    """Members with their item's ``freq``, joined before the self-join.
+    """Members with their item's ``freq``, joined before the self-join; items that ``freq`` lacks leave.
 
     Member rows grow with the input, pair rows with its square: joined here, the
     frequencies ride through the pair count, and the pair table is shuffled
@@ -169,7 +247,7 @@ def with_frequency(m: Members, freq: DataFrame, item_col: str) -> Members:
     """
     own = freq.select(item_col, F.col("freq").alias("_f"))
     hot = m.hot.join(own, item_col) if m.hot is not None else None
-    return Members(m.normal.join(own, item_col), hot, m.n_groups)
+    return replace(m, normal=m.normal.join(own, item_col), hot=hot)
 
 
 def _q(name: str) -> str:
@@ -210,7 +288,10 @@ def pair_rows(
     low = chunked.selectExpr("_g", "_i AS _x", "_w AS _wa", "_c AS _ci", "explode(sequence(_c, _nt - 1)) AS _cj", *fa)
     high = chunked.selectExpr("_g", "_i AS _y", "_w AS _wb", "explode(sequence(0, _c)) AS _ci", "_c AS _cj", *fb)
     # within a tile of one chunk both sides hold every item; between chunks a pair comes in either order
-    met = low.join(high.hint("merge"), on=["_g", "_ci", "_cj"]).where("_ci < _cj OR _x < _y")
+    keys = ["_g", "_ci", "_cj"]
+    if m.parts is not None and m.parts > 1:
+        low, high = low.repartition(m.parts, *keys), high.repartition(m.parts, *keys)
+    met = low.join(high.hint("merge"), on=keys).where("_ci < _cj OR _x < _y")
     swapped = ["if(_x < _y, _fa, _fb) AS _fa", "if(_x < _y, _fb, _fa) AS _fb"] if f else []
     tiles = met.selectExpr("_g", f"least(_x, _y) AS {a}", f"greatest(_x, _y) AS {b}", "_wa", "_wb", *swapped)
     return out.unionByName(tiles.selectExpr(*out_cols))
@@ -261,6 +342,7 @@ def pair_counts(
     count_col: str = "n",
     memb: Members | None = None,
     sizes: DataFrame | None = None,
+    min_count: int | None = None,
 ) -> DataFrame:
     """Groups holding both items, per item pair: (a, b, n).
 
@@ -270,7 +352,12 @@ def pair_counts(
     holding a, or the sum of squared repeats in bag form).  ``memb`` may pass
     a :func:`split_members` result shared with other outputs; members with a
     frequency add the columns (_fa, _fb) (``ordered=False`` only).
+    ``min_count`` keeps pairs that count at least as much (no diagonal then); items
+    that can't reach it leave first, so groups are sized and tiled without them.
     """
+    if min_count is not None and memb is None:
+        df = rows_of(df, group_col, item_col, reaching(df, group_col, item_col, dedupe, F.lit(int(min_count))))
+        sizes = None
     memb = memb if memb is not None else split_members(df, group_col, item_col, dedupe, tile_rows, sizes)
     rows = pair_rows(memb, group_col, item_col, a_col=a_col, b_col=b_col)
     agg = F.count(F.lit(1)) if dedupe else F.sum("_w")
@@ -278,9 +365,9 @@ def pair_counts(
     counts = rows.groupBy(a_col, b_col).agg(agg.alias(count_col), *carried)
     if ordered:
         counts = mirror(counts, a_col, b_col, [count_col])
-    if diagonal:
+    if diagonal and min_count is None:
         diag = item_totals(memb.all(), item_col, count_col, square=not dedupe).select(
             F.col(item_col).alias(a_col), F.col(item_col).alias(b_col), F.col(count_col)
         )
         counts = counts.unionByName(diag)
-    return counts
+    return counts if min_count is None else counts.where(F.col(count_col) >= F.lit(int(min_count)))

@@ -12,7 +12,9 @@ from kinspark.operators.pairs import (
     item_totals,
     mirror,
     pair_counts,
+    reaching,
     row_counts,
+    rows_of,
     split_members,
     with_frequency,
 )
@@ -39,16 +41,22 @@ def association_rules(
     ``basket_count`` and ``item_support``); pass ``n_baskets`` for the
     listed-file meaning (lines).  ``dedupe=False`` keeps the bag counts of the original
     programs, where repeats inflate counts and support can pass 1.
-    ``min_support`` (off by default) filters on the pair count.
+    ``min_support`` (off by default) keeps rules of at least that support; items
+    whose pairs can't reach it leave the baskets before the self-join.
     """
-    memb = split_members(flat, trans_col, item_col, dedupe, tile_rows)
-    if n_baskets is not None:
-        n = _n_col(flat, trans_col, n_baskets)
-    elif memb.n_groups is not None:
-        n = F.lit(memb.n_groups)  # counted with the hot-basket check
+    if min_support is not None:
+        n = F.lit(row_counts(flat, trans_col, item_col).count()) if n_baskets is None else _n_col(flat, trans_col, n_baskets)
+        freq = reaching(flat, trans_col, item_col, dedupe, F.lit(float(min_support)), n)
+        memb = split_members(rows_of(flat, trans_col, item_col, freq), trans_col, item_col, dedupe, tile_rows)
     else:
-        n = row_counts(flat, trans_col, item_col).select(F.count(F.lit(1))).scalar()
-    freq = item_totals(memb.all(), item_col, "freq")
+        memb = split_members(flat, trans_col, item_col, dedupe, tile_rows)
+        if n_baskets is not None:
+            n = _n_col(flat, trans_col, n_baskets)
+        elif memb.n_groups is not None:
+            n = F.lit(memb.n_groups)  # counted with the hot-basket check
+        else:
+            n = row_counts(flat, trans_col, item_col).select(F.count(F.lit(1))).scalar()
+        freq = item_totals(memb.all(), item_col, "freq")
     # counts for a < b only, with the two frequencies, then mirrored
     half = pair_counts(
         flat,

@@ -21,6 +21,12 @@ def flat_basket(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def word_basket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(trans_id, item) = (doc_id, word) of the documents cut at blanks, repeats kept: few common and many rare items."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.select(F.col("doc_id").alias("trans_id"), F.explode(F.split("text", " ")).alias("item")).where("item <> ''")
+
+
 def listed_basket(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(trans_id string, items array<string>): one row per order, its items sorted."""
     li = table(spark, sf_dir, "lineitem")
