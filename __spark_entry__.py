@@ -292,6 +292,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "content_one_sided": _content_measure("one_sided_euclid"),
         "content_cosine": _content_measure("cosine"),
         "content_similarity": _content_similarity,
+        "content_min_score": lambda s, d: CT.content_similarity(V.item_features(s, d), min_score=0.5),
+        "order_similarity": lambda s, d: CT.content_similarity(V.order_features(s, d), min_score=0.4),
+        "order_containment": lambda s, d: CT.content_similarity(V.order_features(s, d), min_score=0.5, score_col="containment"),
+        "order_top_k": lambda s, d: CT.content_similarity(V.order_features(s, d), top_k=3, score_col="cosine"),
         "content_top_k": lambda s, d: CT.content_similarity(V.item_features(s, d), top_k=10),
         # collaborative similarity
         "cooccurrence_count": lambda s, d: CO.cooccurrence_count(V.implicit(s, d)),
@@ -428,14 +432,27 @@ def _content_measure_sql(measure: str) -> str:
     )
 
 
-_CONTENT_ITEMS = f"""
-WITH it AS ({_ITEMS}),
+def _content_items_sql(items: str) -> str:
+    return f"""
+WITH it AS ({items}),
 e AS (SELECT item, unnest(features) f FROM it),
 p AS (SELECT a.item a, b.item b, COUNT(*) m11 FROM e a JOIN e b ON a.f = b.f GROUP BY a.item, b.item),
 q AS (SELECT p.a, p.b, p.m11, CAST(len(x.features) AS BIGINT) fa, CAST(len(y.features) AS BIGINT) fb
       FROM p JOIN it x ON x.item = p.a JOIN it y ON y.item = p.b)
 SELECT a AS item_a, b AS item_b, m11, {", ".join(f"{v} AS {k}" for k, v in _CS.items())} FROM q"""
 
+
+_CONTENT_ITEMS = _content_items_sql(_ITEMS)
+_ORDER_ITEMS = _content_items_sql("SELECT l_orderkey item, list_sort(list_distinct(list(l_partkey))) features FROM lineitem GROUP BY l_orderkey")
+
+
+def _top_k_sql(pairs: str, score: str, k: int) -> str:
+    return f"""
+SELECT item_a, item_b, m11, {", ".join(_CS)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_a ORDER BY {score} DESC, item_b) AS place
+  FROM ({pairs}) q WHERE item_a <> item_b) z WHERE place <= {k}"""
+
+
 _IMPLICIT = "SELECT o_custkey u, l_partkey i FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
 
 
@@ -531,10 +548,11 @@ FROM lineitem GROUP BY l_partkey""",
         "rmse_mae_builtin": f"""{_ITEM_MEAN}
 SELECT ROUND(sqrt(AVG(err * err)), {DIGITS}) AS rmse, ROUND(AVG(abs(err)), {DIGITS}) AS mae FROM e
 WHERE err IS NOT NULL AND NOT isnan(err)""",
-        "content_top_k": f"""
-SELECT item_a, item_b, m11, {", ".join(_CS)} FROM (
-  SELECT *, row_number() OVER (PARTITION BY item_a ORDER BY jaccard DESC, item_b) AS place
-  FROM ({_CONTENT_ITEMS}) q WHERE item_a <> item_b) z WHERE place <= 10""",
+        "content_top_k": _top_k_sql(_CONTENT_ITEMS, "jaccard", 10),
+        "content_min_score": f"SELECT * FROM ({_CONTENT_ITEMS}) q WHERE jaccard >= 0.5",
+        "order_similarity": f"SELECT * FROM ({_ORDER_ITEMS}) q WHERE jaccard >= 0.4",
+        "order_containment": f"SELECT * FROM ({_ORDER_ITEMS}) q WHERE containment >= 0.5",
+        "order_top_k": _top_k_sql(_ORDER_ITEMS, "cosine", 3),
         "cooccurrence_count_bag": f"""
 WITH r AS ({_IMPLICIT})
 SELECT a.i AS item_a, b.i AS item_b, COUNT(*) AS n FROM r a JOIN r b ON a.u = b.u GROUP BY a.i, b.i""",

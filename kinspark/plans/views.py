@@ -101,6 +101,13 @@ def item_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(item, features) = (l_orderkey, its parts): many distinct sets over many features."""
+    li = table(spark, sf_dir, "lineitem")
+    parts = F.array_sort(F.collect_set("l_partkey")).alias("features")
+    return li.groupBy(F.col("l_orderkey").alias("item")).agg(parts)
+
+
 # ---------------------------------------------------------------- text files
 
 
