@@ -1,10 +1,13 @@
 import hashlib
 import random
+import time
 from collections import defaultdict
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from kinspark.llm import chat_format as C
 
 PIECES = [*C.CONTROL, "\\", "\\\\", "\n", "a", " ", "<|", "[/INST", "é😀", "\\n"]
@@ -82,3 +85,43 @@ def test_random_logs_equal_fold(spark):
     rng.shuffle(rows)
     log = spark.createDataFrame(rows, "conv_id long, seq long, kind string, message long, role string, text string")
     assert collect(C.format_log(log.repartition(5))) == want
+
+
+def test_escapes_are_linear():
+    for run in ("\\" * 100_000, "\\" * 100_000 + "<s>", ("\\" * 50 + "<s>") * 4_000, "<s>" * 60_000):
+        start = time.time()
+        segment, a, b = C.render_turn("assistant", run)
+        assert C.parse_turn(segment) == ("assistant", run) and C.unescape(segment[a:b]) == run
+        assert time.time() - start < 3
+
+
+def test_long_turn_is_cut_in_one_pass(spark):
+    text = "漢é😀\n" * 1_250_000
+    turns = spark.createDataFrame([(1, 0, "assistant", text)], "conv_id long, turn long, role string, text string")
+    start = time.time()
+    got = collect(C.format_log(C.turns_as_log(turns), together=True))
+    assert got == {1: digest([("assistant", text)])} and time.time() - start < 60
+
+
+def test_hot_conversation_is_spread_and_unchanged(spark):
+    """One conversation with most events, edits and regenerations included, over many tasks."""
+    rng, events = random.Random(4), []
+    for seq in range(3_000):
+        kind = rng.choice(["start", "delta", "delta", "edit"]) if seq % 500 else "regenerate"
+        events.append((seq, kind, rng.randint(0, 400) if kind != "regenerate" else 200 + seq // 50, rng.choice(["user", "assistant"]), f"t{seq} <s>"))
+    rows = [(None if seq % 2 else 7, *e) for e in events for seq in (0, 1)]
+    log = spark.createDataFrame(rows, "conv_id long, seq long, kind string, message long, role string, text string").repartition(6)
+    want = digest(fold(events))
+    turns = C.format_log(log)
+    assert collect(turns) == {7: want, None: want}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # rows this few would be merged into one task
+    try:
+        per = C.format_log(log).groupBy("conv_id", F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len([r for r in per if r.conv_id == 7]) > 4
+
+
+def test_query_plan_has_no_join_and_two_exchanges(spark):
+    plan = C.op6_chat_format(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange ") == 2
