@@ -4,6 +4,9 @@ Every measure is a Spark SQL expression over the whole text; a rule is a row
 (name, measure, least, most) of ``RULES``.  There is no user function and no
 shuffle: the plan is a scan and projections.
 
+The function words of the languages listed are one list; a text passes its rule with one word in a hundred
+from it, or where its letters are of a script that no listed language uses.
+
 Defined results: a null text counts as empty (no words, ``base_failed``); an
 empty table gives no rows; rows with equal or null ``doc_id`` are judged one by
 one; other columns of the input are ignored, whatever their names.
@@ -21,14 +24,45 @@ from kinspark.llm.common import WHITE, bind, documents, words
 # Symbols counted by n_symbols.
 SYMBOLS = "#*$%&|<>"
 
-# Common function words of English, German, French and Spanish.
+# Common function words, a line or two a language (English, German, French, Spanish; Italian, Portuguese,
+# Dutch; Swedish, Danish and Norwegian; Polish, Czech; Finnish, Estonian; Hungarian, Romanian, Turkish; Lithuanian, Latvian;
+# Indonesian, Tagalog, Swahili; Albanian, Basque, Welsh, Irish; Croatian and Serbian; Russian, Ukrainian, Bulgarian).
 STOP_WORDS = (
     "the be to of and that have with is in it for was on as are a this at by from or an "
     "der die und das den von zu mit sich des auf für ist im dem nicht ein eine als auch "
     "de la le les et des en un une du que est pour dans qui au par sur avec "
-    "el los las y del se por con para no su lo"
+    "el los las y del se por con para no su lo "
+    "di che il non per gli sono della "
+    "que não uma os em mais do "
+    "het een van niet dat zijn voor "
+    "och att det som på ikke og er "
+    "nie się na jest że do "
+    "je byl ale jako "
+    "ja ei oli että see "
+    "az és hogy nem egy "
+    "și nu este care din "
+    "ve bir bu için ile "
+    "ir kad yra un "
+    "yang dan ini untuk dengan "
+    "ang ng sa mga "
+    "ya wa kwa ni "
+    "dhe të në eta ez yn agus ag "
+    "su koji kao "
+    "и в не на что с по как это "
+    "і що та до з "
+    "да се от у је"
 ).split()
 
+# Letters of scripts (and parts of scripts) that none of these languages is written in, as a
+# character class of code point ranges: Greek; further Cyrillic; Armenian to Khmer and Mongolian with Hebrew, Arabic, the scripts
+# of India, Thai and Hangul jamo; further Latin; the scripts of East Asia; Hangul; letters beyond the basic plane, without pictures.
+OTHER_LETTERS = (
+    r"\x{370}-\x{3FF}\x{460}-\x{1CFF}\x{1EA0}-\x{1FFF}\x{2D00}-\x{2DFF}\x{2E80}-\x{D7FF}"
+    r"\x{F900}-\x{FDFF}\x{FE70}-\x{FEFC}\x{FF66}-\x{FFDC}\x{10000}-\x{1EFFF}\x{20000}-\x{3FFFF}"
+)
+#: Share of such letters in a text's words from which the list of function words says nothing about it.
+OTHER_SHARE = 0.1
+
 #: A text of fewer words, or with a larger share of repeated words, fails before any rule.
 MIN_WORDS = 50
 MAX_REPEAT_SHARE = 50
@@ -39,12 +73,13 @@ class Rule(NamedTuple):
     measure: str  # SQL over the base columns
     least: float | None
     most: float | None
+    unless: str | None = None  # SQL over the base columns; where it is true, the rule holds
 
 
 RULES = (
     Rule("mean_word_length", "word_chars / n_words", 1.5, 20.0),
     Rule("symbols_per_word", "n_symbols / n_words", None, 0.1),
-    Rule("stop_word_share", "n_stop_words / n_words", 0.01, None),
+    Rule("stop_word_share", "n_stop_words / n_words", 0.01, None, f"n_other_letters >= {OTHER_SHARE}D * word_chars"),
     Rule("repeated_line_share", "n_dup_lines / n_lines", None, 0.7),
     Rule("ellipsis_line_share", "n_ellipsis_lines / n_lines", None, 0.3),
     Rule("bullet_line_share", "n_bullet_lines / n_lines", None, 0.9),
@@ -120,6 +155,9 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
         "n_repeat_words": repeat_words(F.col("w")),
         "n_lines": F.size("lines"),
         "n_stop_words": F.size(stop),
+        "n_other_letters": F.when(F.octet_length("text") == F.length("text"), 0).otherwise(
+            F.length(F.regexp_replace("text", f"[^{OTHER_LETTERS}]+", ""))
+        ),
         "n_ellipsis_lines": F.size(ellipsis),
         "n_bullet_lines": F.size(bullets),
     }
@@ -131,10 +169,9 @@ def compile_rules(rules=RULES) -> str:
     parts = []
     for r in rules:
         top, bottom = r.measure.split(" / ")
-        if r.least is not None:
-            parts.append(f"{top} >= {r.least}D * {bottom}")
-        if r.most is not None:
-            parts.append(f"{top} <= {r.most}D * {bottom}")
+        held = [f"{top} >= {r.least}D * {bottom}"] if r.least is not None else []
+        held += [f"{top} <= {r.most}D * {bottom}"] if r.most is not None else []
+        parts += [f"({h} OR {r.unless})" if r.unless else h for h in held]
     return " AND ".join(parts) or "true"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from kinspark.llm import importance as I
 from kinspark.llm import pivot_clusters as P
 from kinspark.llm.line_dedup import MIN_CHARS, MIN_DOCS
-from kinspark.llm.quality_rules import BASE_FAILED, STOP_WORDS, SYMBOLS, compile_rules
+from kinspark.llm.quality_rules import BASE_FAILED, OTHER_LETTERS, STOP_WORDS, SYMBOLS, compile_rules
 
 _WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -28,6 +28,7 @@ m AS (SELECT l.doc_id,
         CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
         len(lines) AS n_lines,
         len([x FOR x IN ws IF lower(x) IN ({_STOP})]) AS n_stop_words,
+        length(regexp_replace(text, '[^{OTHER_LETTERS}]+', '', 'g')) AS n_other_letters,
         len([x FOR x IN lines IF ends_with(x, '...') OR ends_with(x, chr(8230))]) AS n_ellipsis_lines,
         len([x FOR x IN lines IF starts_with(x, '- ') OR starts_with(x, '* ') OR starts_with(x, chr(8226) || ' ')])
           AS n_bullet_lines
