@@ -12,6 +12,13 @@ def pieces():
     return N.Pieces(N.default_model_path(), 5, memo_entries=40)
 
 
+def encodings(p, text):
+    """The n best (score, ids as numbers) of a text; their decoded texts are what ``decode`` gives."""
+    got = p.segmentations(p.meet([text])[0])
+    assert [x[2] for x in got] == [p.decode(np.frombuffer(x[1], "<u2")) for x in got]
+    return [(x[0], np.frombuffer(x[1], "<u2")) for x in got]
+
+
 def all_paths(p, text):
     """Every segmentation of the whole text, over one lattice without blocks."""
     edges = p.edges(N.SIGN + text.replace(" ", N.SIGN) if text else "")
@@ -27,12 +34,11 @@ TEXTS = ["", "a", " ", "hello", "the cat", "the the", "  a\n漢 b", "é😀x", "
 @pytest.mark.parametrize("text", TEXTS)
 def test_n_best_equal_all_paths(pieces, text):
     want = all_paths(pieces, text)
-    got = pieces.encodings(text)
+    got = encodings(pieces, text)
     assert [s for s, _ in got] == [s for s, _ in want[:5]]
     every = {(s, ids) for s, ids in want}
     assert len({x.tobytes() for _, x in got}) == len(got)
     assert all((s, x.tobytes()) in every and pieces.decode(x) == text for s, x in got)
-    assert pieces.n_best_of(text) == (got[0][1].tobytes(), [s for s, _ in got])
 
 
 def test_block_search_equals_all_paths(pieces):
@@ -41,8 +47,10 @@ def test_block_search_equals_all_paths(pieces):
         block = "".join(rng.choice("thean▁") for _ in range(rng.randint(1, 9)))
         want = sorted(all_paths_of_block(pieces, block), reverse=True)
         assert [s for s, _ in pieces.search(block, 7)] == want[:7]
-        ids, score, lack = pieces.lookup(block)
+        pieces.learn([block])
+        ids, score, lack, raw = pieces.memo[block]
         assert score == want[0] and (lack is None if len(want) == 1 else lack == want[0] - want[1])
+        assert raw.decode() == block.replace(N.SIGN, " ") and (score, ids) in pieces.search(block, 40)
 
 
 def all_paths_of_block(p, block):
@@ -78,7 +86,7 @@ def test_every_segmentation_is_returned(spark, awkward, small_docs):
         for r in rows:
             if r.text is None or r.doc_id == 3:  # two texts have id 3
                 continue
-            want = [(s / N.UNIT, x.tolist()) for s, x in pieces.encodings(r.text)]
+            want = [(s / N.UNIT, x.tolist()) for s, x in encodings(pieces, r.text)]
             assert [(x.score, x.ids) for x in r.segmentations] == want
             assert r.decodings == [r.text] * len(want) and r.ids == want[0][1] and r.decoded == r.text
 
@@ -91,7 +99,7 @@ def test_query_digests_each_segmentation(spark):
     assert len(rows) == len(texts)
     for r in rows:
         sha = hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
-        want = [(s / N.UNIT, len(x), sha) for s, x in pieces.encodings(texts[r.doc_id])]
+        want = [(s / N.UNIT, len(x), sha) for s, x in encodings(pieces, texts[r.doc_id])]
         assert [(x.score, x.n_pieces, x.decoded_sha256) for x in r.n_best] == want
         assert len({x.ids_xxhash64 for x in r.n_best}) == len(want)
         assert (r.n_pieces, r.ids_xxhash64, r.decoded_sha256) == (want[0][1], r.n_best[0].ids_xxhash64, sha)
@@ -100,7 +108,7 @@ def test_query_digests_each_segmentation(spark):
 
 def test_n_best_are_distinct_where_totals_tie(pieces):
     for text in ("x" * 40, "ab" * 30 + " " + "-" * 50, "=" * 80, "aaaa bbbb " * 9):
-        got = pieces.encodings(text)
+        got = encodings(pieces, text)
         assert len({x.tobytes() for _, x in got}) == len(got) == 5
         assert all(pieces.decode(x) == text for _, x in got)
 
@@ -108,9 +116,24 @@ def test_n_best_are_distinct_where_totals_tie(pieces):
 def test_literal_block_signs_round_trip(spark, pieces):
     texts = ["▁", "▁▁ ▁", "▁ a", "a▁b c", "  ▁", "load ▁▂▃▅▇ done", "the▁cat▁ sat"]
     for text in texts:
-        got = pieces.encodings(text)
+        got = encodings(pieces, text)
         assert [pieces.decode(x) for _, x in got] == [text] * len(got)
         assert len({x.tobytes() for _, x in got}) == len(got)
     path = N.default_model_path()
     rows = N.decode(N.encode(spark.createDataFrame(enumerate(texts), "doc_id long, text string"), path), path).collect()
     assert all(set(r.decodings) == {texts[r.doc_id]} and r.decoded == texts[r.doc_id] for r in rows) and len(rows) == 7
+
+
+def test_blocks_learnt_together_equal_one_by_one(pieces):
+    rng = random.Random(11)
+    blocks = {"".join(rng.choice("thean▁漢😀é\ud800ß") for _ in range(rng.choice([1, 2, 5, 9, 30, 90]))) for _ in range(200)}
+    blocks |= {"x" * 3000, "▁" * 40, "the" * 700}
+    one = N.Pieces(N.default_model_path(), 5)
+    for b in blocks:
+        one.learn([b])
+    whole = N.Pieces(N.default_model_path(), 5)
+    whole.learn(sorted(blocks, key=len))
+    assert one.memo == whole.memo and len(whole.memo) == len(blocks)
+    for b in blocks:
+        edges = one.edges(b)
+        assert one.memo[b][1] == one.forward(edges)[0][-1]
