@@ -1,33 +1,31 @@
 """Document fingerprints: order MinHash over words and over code points.
 
-A text's k-mers (``K`` words in a row; a shorter text is one k-mer) get
-occurrence numbers, so that a repeated k-mer counts as different elements.
+A text is a sequence of pieces: its first ``LEAD`` code points one by one, then its words, cut every
+``PIECE`` code points.  So texts without white space and very short texts have several k-mers too, by the same
+rule as all others.  A k-mer (``K`` pieces that end at a piece; nothing stands before the first) gets an
+occurrence number, so that a repeated k-mer counts as different elements.
 One hash per element deals the elements into ``BINS`` bins and ranks them there
 (one-permutation hashing).  Each bin selects its ``L`` minimal elements, puts
 them back into text order, and hashes the tuple of their k-mers: a bin matches
 only if both texts agree on its k-mers and on their order, which follows
 edit distance rather than set overlap.  Likeness is the share of equal bins
-among those filled in either text.
-
-Word k-mers see nothing of the inside of a word: a text without white space is one
-k-mer, however long.  So each text has a second fingerprint over the k-mers of its code points
-(``K_CHARS`` in a row, one ending at each code point, with signs put before the text; white space
-counts), by the same rule for every text.  There a k-mer is known by 36 bits of its hash, and its
-position has the other 28 bits: a text may have 268 million code points.
+among those filled in either text.  A text of 4 code points, the shortest that an edit of
+its last quarter changes, still shares two of the six k-mers with its edited form.
 
 Everything is array expressions inside one projection: no user function, and
-k-mers are never shuffled.  Occurrence numbers come from runs of equal hashes in a
-sorted array, so the work is O(n log n) in the text length.
+k-mers are never shuffled.  An element is one number, 36 bits of its k-mer's hash above 28 bits of its position
+(an array of numbers that Spark can hold has fewer than 2^28).  Occurrence numbers come from runs of equal hashes in the
+sorted numbers, so the work is O(n log n) in the text length.
 
 ``fingerprint_edits`` also fingerprints each text with its last quarter replaced
 by the beginning of the next document.  The order of ids is found on ids alone
 (range partitions and one row per partition); texts move by doc_id for each of
 the two joins, and between them only the beginnings.
 
-Defined results: a null text counts as empty; a text without words has an empty
-word fingerprint, and an empty text an empty code point fingerprint, like 1 to another such and 0 to the rest; of rows that share a
+Defined results: a null text counts as empty; an empty text has an empty
+fingerprint, like 1 to another such and 0 to the rest; of rows that share a
 doc_id, each is a document, and the id before takes the smallest of their
-texts for its tail and the smallest of their fingerprints for near_next and near_next_chars; a row
+texts for its tail and the smallest of their fingerprints for near_next; a row
 with null doc_id has an empty text as its next document and is nobody's next; an only document is its own next; an empty
 table gives no rows; other columns are ignored.
 """
@@ -37,47 +35,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kinspark.llm.common import bind, documents, stage, words
+from kinspark.llm.common import bind, documents, stage
 
 K = 2
 L = 2
 BINS = 32
-K_CHARS = 8
-_BEFORE = "\uffff"  # stands before a text, so that k-mers of code points end at each of its own
+LEAD, PIECE = 8, 8
 _PLACE = 28  # lower bits of an element: its position; the others are its k-mer's hash
 _SHIFT = 59  # the upper five bits of a hash are its bin
 
 
-def _kmers(w: Column, k: int) -> Column:
-    """Hashes of the k-mers of a word array, in text order."""
-    at = F.sequence(F.lit(1), F.size(w) - k + 1)
-    several = F.transform(at, lambda i: F.xxhash64(*[w[i - 1 + j] for j in range(k)]))
-    return F.when(F.size(w) >= k, several).when(F.size(w) > 0, F.array(F.xxhash64(F.array_join(w, " "))))
-
-
-def _numbered(h: Column) -> Column:
-    """Hash of (k-mer, occurrence number) for each position of h."""
-
-    def by_runs(s: Column) -> Column:  # s: sorted (h, position)
-        starts = F.filter(
-            F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i - 1)["h"] != F.get(s, i)["h"])
-        )
-
-        def runs(first: Column) -> Column:
-            def one(start: Column, j: Column) -> Column:
-                end = F.coalesce(F.get(first, j + 1), F.size(s))
-                run = F.slice(s, start + 1, end - start)
-                return F.transform(run, lambda x, o: F.struct(x["i"].alias("i"), F.xxhash64(x["h"], o).alias("r")))
-
-            return F.transform(F.sort_array(F.flatten(F.transform(first, one))), lambda x: x["r"])
-
-        return bind(starts, runs)
-
-    pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
-    unrepeated = F.transform(h, lambda x: F.xxhash64(x, F.lit(0)))
-    return F.when(F.size(F.array_distinct(h)) == F.size(h), unrepeated).otherwise(bind(pairs, by_runs))
-
-
 def _bin(r: Column) -> Column:
     return F.shiftrightunsigned(r, _SHIFT).cast("int")
 
@@ -96,53 +63,27 @@ def _tuples(c: Column, size: int) -> Column:
     return F.transform(heads, value)
 
 
-def sketch(text: Column, k: int = K, size: int = L) -> Column:
-    """array<struct<bin, value>> of the filled bins, by bin."""
-
-    def select(h: Column) -> Column:
-        def choose(r: Column) -> Column:  # r: hash per position; of each bin the `size` least, in text order
-            def least(s: Column) -> Column:
-                first = F.filter(
-                    s, lambda x, i: F.coalesce(_bin(F.get(s, i - size)) != _bin(x), F.lit(True))
-                )
-                return F.sort_array(
-                    F.transform(
-                        first,
-                        lambda x: bind(
-                            F.array_position(r, x).cast("int"),
-                            lambda p: F.struct(_bin(x).alias("bin"), p.alias("p"), F.get(h, p - 1).alias("h")),
-                        ),
-                    )
-                )
+def pieces(text: Column) -> Column:
+    """The first code points of a text one by one, then its words in parts of at most ``PIECE`` code points."""
+    lead = F.transform(F.sequence(F.lit(1), F.least(F.length(text), F.lit(LEAD))), lambda i: F.substring(text, i, F.lit(1)))
+    return F.concat(lead, F.regexp_extract_all(text, F.lit(rf"[^\x20\x09-\x0D]{{1,{PIECE}}}"), F.lit(0)))
 
-            return bind(bind(F.sort_array(r), least), lambda c: _tuples(c, size))
 
-        return bind(_numbered(h), choose)
+def _elements(text: Column, k: int) -> Column:
+    """Sorted (k-mer's hash, position) in one number for each piece: the k-mer that ends there."""
 
-    none = F.array().cast("array<struct<bin:int,value:bigint>>")
-    return F.coalesce(
-        bind(words(text), lambda w: bind(_kmers(w, k), lambda h: F.when(h.isNotNull(), select(h)))), none
-    )
-
-
-def _char_elements(text: Column, k: int) -> Column:
-    """Sorted (k-mer's hash, position) in one number for each code point: the k-mer that ends there."""
-    wide = F.encode(F.concat(F.lit(_BEFORE * (k - 1)), text), "UTF-32")  # four bytes each
-
-    def hashes(b: Column) -> Column:
-        at = F.sequence(F.lit(0), F.length(text) - 1)
-
-        def one(i: Column) -> Column:
-            h = F.xxhash64(F.substring(b, i * 4 + 1, F.lit(4 * k)))
+    def hashes(w: Column) -> Column:
+        def one(x: Column, i: Column) -> Column:
+            h = F.xxhash64(*[F.get(w, i - j) for j in range(k - 1, 0, -1)], x)
             return F.shiftleft(h, _PLACE).bitwiseOR(i.cast("bigint"))
 
-        return F.transform(at, one)
+        return F.transform(w, one)
 
-    return F.sort_array(bind(wide, hashes))
+    return F.sort_array(bind(pieces(text), hashes))
 
 
-def char_sketch(text: Column, k: int = K_CHARS, size: int = L) -> Column:
-    """``sketch`` over k-mers of code points, one that ends at each code point; before the text stand k - 1 signs."""
+def sketch(text: Column, k: int = K, size: int = L) -> Column:
+    """array<struct<bin, value>> of the filled bins, by bin."""
 
     def kmer(x: Column) -> Column:
         return F.shiftrightunsigned(x, _PLACE)
@@ -198,7 +139,7 @@ def char_sketch(text: Column, k: int = K_CHARS, size: int = L) -> Column:
         return bind(number(s), choose)
 
     none = F.array().cast("array<struct<bin:int,value:bigint>>")
-    return F.when(F.length(text) > 0, bind(_char_elements(text, k), select)).otherwise(none)
+    return F.when(F.length(text) > 0, bind(_elements(text, k), select)).otherwise(none)
 
 
 def as_text(s: Column) -> Column:
@@ -249,8 +190,7 @@ def next_ids(ids: DataFrame) -> DataFrame:
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next (of word k-mers),
-    char_fingerprint, edited_char_fingerprint, near_edited_chars, near_next_chars (of code point k-mers)."""
+    """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
     placed = plain.where("doc_id IS NOT NULL")  # joined twice below; nothing but the scan is under the exchanges
@@ -271,21 +211,15 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.sha2("edited", 256).alias("edited_sha256"),
         as_text(sketch(F.col("text"))).alias("fingerprint"),
         as_text(sketch(F.col("edited"))).alias("edited_fingerprint"),
-        as_text(char_sketch(F.col("text"))).alias("char_fingerprint"),
-        as_text(char_sketch(F.col("edited"))).alias("edited_char_fingerprint"),
     )
     prints = stage(prints, "fingerprints")
-    one = prints.groupBy("doc_id").agg(F.min("fingerprint").alias("next"), F.min("char_fingerprint").alias("next_char"))
+    one = prints.groupBy("doc_id").agg(F.min("fingerprint").alias("next"))
     following = one.withColumnRenamed("doc_id", "next_id")
     following = order.select("doc_id", "next_id").join(following, "next_id").drop("next_id")
-    chars = ["char_fingerprint", "edited_char_fingerprint"]
     return prints.join(following, "doc_id", "left").select(
-        *[c for c in prints.columns if c not in chars],
+        *prints.columns,
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.coalesce("next", F.lit(""))).alias("near_next"),
-        *chars,
-        likeness(F.col("char_fingerprint"), F.col("edited_char_fingerprint")).alias("near_edited_chars"),
-        likeness(F.col("char_fingerprint"), F.coalesce("next_char", F.lit(""))).alias("near_next_chars"),
     )
 
 
