@@ -192,7 +192,9 @@ def next_ids(ids: DataFrame) -> DataFrame:
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
+    # a column taken as it is, without an alias, leaves the two joins below the same exchange
+    same = id_col == "doc_id" and dict(docs.dtypes)[id_col] == "bigint"
+    plain = docs.select(F.col(id_col) if same else F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
     placed = plain.where("doc_id IS NOT NULL")  # joined twice below; nothing but the scan is under the exchanges
     longest = placed.groupBy("doc_id").agg(F.max(F.length("text")).alias("n"))
     order = stage(next_ids(longest.select("doc_id")).join(longest, "doc_id"), "next-ids")
