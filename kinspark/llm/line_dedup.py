@@ -1,19 +1,14 @@
 """Line dedup over levelled sorted runs of line hashes.
 
 State is a set of *runs* in shared storage: Parquet tables sorted by line hash,
-one row (hash, documents holding the line, largest such doc_id) per line.  A
-batch of documents is hashed once, reduced to one row per line and added as a new
-run of level 0, whether or not other runs hold its lines; the rows of a line are
-summed when runs are merged and when they are read.  Counting takes the place of a
-merge anti join of each batch against the runs: a line is dropped for how many
-documents hold it, so the known lines of a batch count as well as the new ones, and
-both would be summed in the end.  ``LineRuns.unseen`` (the lines no run has) is that
-anti join for callers who want only new lines; ``dedup_lines`` doesn't call it.  When a level holds ``fanout`` runs, they are merged into one
-run of the next level, so n batches leave O(fanout * log n) runs and each row
-is rewritten O(log n) times.  Merging is a hash aggregate over the union of the runs
-and doesn't use their order.  Every step is a shuffle by hash with partial
-aggregation, so a line that a third of all documents share is one row per task
-before it moves.
+one row (hash, documents holding the line, largest such doc_id) per line, each line in one run only.  A
+batch of documents is hashed once, reduced to one row per line and merge-anti-joined with every
+run (``LineRuns.unseen``): lines that no run has become the batch's own run of level 0.  The batch's counts of lines
+that runs already have are kept as updates beside the runs, as a line is dropped for how many documents hold it.
+When a level holds ``fanout`` runs, they are merged into one run of the next level (with the updates, if no other run is left), so n
+batches leave O(fanout * log n) runs and each row is rewritten O(log n) times.  Runs and updates are written
+partitioned and sorted by hash, every step shuffles by hash, and a line that a third of all documents share is one
+row per task before it moves.
 
 ``dedup_lines`` deals a table into batches, builds the runs and applies them: a
 line of at least ``min_chars`` code points held by at least ``min_docs``
@@ -78,10 +73,11 @@ class LineRuns:
     def __init__(self, fanout: int = FANOUT):
         self.fanout = fanout
         self.levels: list[list[DataFrame]] = []
+        self.updates: list[DataFrame] = []  # counts of lines that were in a run already
 
     @staticmethod
-    def _merged(runs: list[DataFrame]) -> DataFrame:
-        rows = reduce(DataFrame.unionByName, runs)
+    def _merged(tables: list[DataFrame]) -> DataFrame:
+        rows = reduce(DataFrame.unionByName, tables)
         return rows.groupBy("h").agg(F.sum("n_docs").alias("n_docs"), F.max("max_doc").alias("max_doc"))
 
     @staticmethod
@@ -92,14 +88,21 @@ class LineRuns:
         return [run for level in self.levels for run in level]
 
     def unseen(self, lines: DataFrame) -> DataFrame:
-        """The rows (doc_id, h) whose hash no run holds: one merge anti join per run."""
+        """The rows (h, ...) whose hash no run holds: one merge anti join per run."""
         for run in self.runs():
             lines = lines.join(run.select("h").hint("merge"), "h", "left_anti")
         return lines
 
     def add(self, lines: DataFrame) -> None:
-        """Add a batch (doc_id, h) as a run of level 0; all rows of a document belong to one batch."""
-        self._push(stage(self._batch(lines).sortWithinPartitions("h"), "line-run-0"), 0)
+        """Add a batch (doc_id, h): its new lines as a run of level 0, its other lines as updates; all rows of a document belong to one batch."""
+        batch = self._batch(lines).sortWithinPartitions("h")
+        if not self.runs():
+            return self._push(stage(batch, "line-run-0"), 0)
+        batch = stage(batch, "line-batch")
+        new = stage(self.unseen(batch).sortWithinPartitions("h"), "line-run-0")
+        known = batch.join(new.select("h").hint("merge"), "h", "left_anti")
+        self.updates.append(stage(known.sortWithinPartitions("h"), "line-updates"))
+        self._push(new, 0)
 
     def _push(self, run: DataFrame, level: int) -> None:
         if level == len(self.levels):
@@ -107,13 +110,15 @@ class LineRuns:
         self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
+            if not self.runs():  # nothing else is left that the updates could belong to
+                full, self.updates = full + self.updates, []
             merged = self._merged(full).sortWithinPartitions("h")
             self._push(stage(merged, f"line-run-{level + 1}"), level + 1)
 
     def counts(self) -> DataFrame:
-        """One row (h, n_docs, max_doc) per line over all runs."""
-        runs = self.runs()
-        return runs[0] if len(runs) == 1 else self._merged(runs)
+        """One row (h, n_docs, max_doc) per line over all runs and updates."""
+        tables = self.runs() + self.updates
+        return tables[0] if len(tables) == 1 else self._merged(tables)
 
 
 def _drop_lines(rows: DataFrame, min_chars: int) -> DataFrame:

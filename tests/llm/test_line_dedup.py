@@ -52,7 +52,9 @@ def test_runs_merge_by_level(spark):
         assert new == {bytes([j]) for j in range(b + 1)} - seen
         seen |= new
         runs.add(lines)
-    assert [len(x) for x in runs.levels] == [1, 0, 1]
+    assert [len(x) for x in runs.levels] == [1, 0, 1] and len(runs.updates) == 1
+    held = Counter(bytes(r.h) for run in runs.runs() for r in run.collect())
+    assert held == {bytes([j]): 1 for j in range(5)}  # a line is in the run of the batch that had it first
     got = {bytes(r.h): (r.n_docs, r.max_doc) for r in runs.counts().collect()}
     assert got == {bytes([j]): (5 - j, 40 + j) for j in range(5)}
 
@@ -60,3 +62,19 @@ def test_runs_merge_by_level(spark):
 def test_hash_is_of_lowered_key():
     assert L.key_hash("ABC É") == L.key_hash("abc É") != L.key_hash("abc é")
     assert len(L.key_hash("")) == 16 and hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_batches_go_through_the_anti_join(small_docs, monkeypatch):
+    plans = []
+    unseen = L.LineRuns.unseen
+
+    def watched(self, lines):
+        out = unseen(self, lines)
+        plans.append((len(self.runs()), out._jdf.queryExecution().executedPlan().toString()))
+        return out
+
+    monkeypatch.setattr(L.LineRuns, "unseen", watched)
+    got = L.dedup_lines(small_docs, batches=4, fanout=2, min_docs=2)
+    rows = [(r.doc_id, r.text) for r in small_docs.collect()]
+    assert Counter(map(tuple, got.collect())) == model(rows, L.MIN_CHARS, 2)
+    assert [n for n, _ in plans] == [1, 1, 2] and all(p.count("SortMergeJoin") == n and "LeftAnti" in p for n, p in plans)
