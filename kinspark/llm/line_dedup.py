@@ -38,6 +38,8 @@ MIN_DOCS = 5
 #: Batches that one call over a whole table is dealt into, and runs of a level that are merged.
 BATCHES = 4
 FANOUT = 2
+#: Hashes don't compress, and many small files would each hold native buffers of a codec.
+_CODEC = "uncompressed"
 
 
 def line_key(line: str) -> str:
@@ -97,11 +99,11 @@ class LineRuns:
         """Add a batch (doc_id, h): its new lines as a run of level 0, its other lines as updates; all rows of a document belong to one batch."""
         batch = self._batch(lines).sortWithinPartitions("h")
         if not self.runs():
-            return self._push(stage(batch, "line-run-0"), 0)
-        batch = stage(batch, "line-batch")
-        new = stage(self.unseen(batch).sortWithinPartitions("h"), "line-run-0")
+            return self._push(stage(batch, "line-run-0", _CODEC), 0)
+        batch = stage(batch, "line-batch", _CODEC)
+        new = stage(self.unseen(batch).sortWithinPartitions("h"), "line-run-0", _CODEC)
         known = batch.join(new.select("h").hint("merge"), "h", "left_anti")
-        self.updates.append(stage(known.sortWithinPartitions("h"), "line-updates"))
+        self.updates.append(stage(known.sortWithinPartitions("h"), "line-updates", _CODEC))
         self._push(new, 0)
 
     def _push(self, run: DataFrame, level: int) -> None:
@@ -113,7 +115,7 @@ class LineRuns:
             if not self.runs():  # nothing else is left that the updates could belong to
                 full, self.updates = full + self.updates, []
             merged = self._merged(full).sortWithinPartitions("h")
-            self._push(stage(merged, f"line-run-{level + 1}"), level + 1)
+            self._push(stage(merged, f"line-run-{level + 1}", _CODEC), level + 1)
 
     def counts(self) -> DataFrame:
         """One row (h, n_docs, max_doc) per line over all runs and updates."""
