@@ -50,7 +50,7 @@ def con():
 def _norm(v):
     if isinstance(v, (list, tuple, np.ndarray)):
         return tuple(_norm(x) for x in v)
-    if isinstance(v, float) and math.isnan(v):
+    if v is pd.NA or (isinstance(v, float) and math.isnan(v)):  # missing numbers, as either side's frames show them
         return "NaN"
     if isinstance(v, pd.Timestamp):
         return v.to_pydatetime().replace(tzinfo=None)
