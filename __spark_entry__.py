@@ -41,6 +41,8 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 TOP_K = 100
 MIN_SCORE = 0.1  # of the item-level content pairs; without a bound they grow with the square of the items
 MIN_SUPPORT, MIN_SUPPORT_BAG = 0.1, 5.0  # of the rules between words of documents
+DENSE_USERS, DENSE_DOCS = 1 / 32, 0.25  # shares from which items are counted by bit arrays
+ALS_RESIDUAL = 1e-4  # of the normal equations of a float factor row
 DIGITS = 9  # rounding of order-dependent double sums (means, RMSE, MAE)
 
 
@@ -157,14 +159,29 @@ def _als_eval(spark, d):
 
 
 def _als_predictions(spark, d):
+    """Each prediction against the dot product of its factor rows."""
+    found = _als_eval(spark, d)
     cold = F.isnan("prediction").alias("is_cold")
-    return _als_eval(spark, d).predictions.select("userId", "itemId", "rating", cold)
+    gap = F.abs(F.col("prediction").cast("double") - F.col("recomputed"))
+    equal = F.when(F.isnan("prediction"), F.isnan("recomputed")).otherwise(gap <= 1e-4 * (1 + F.abs("recomputed")))
+    rows = RA.recompute_predictions(found.model, found.predictions)
+    return rows.select("userId", "itemId", "rating", cold, equal.alias("is_dot_product"))
 
 
 def _als_metrics(spark, d):
-    """Row counts, and whether the errors are ones that a fitted model makes (ratings span 0.1 to 5)."""
-    sane = (F.col("mae") <= F.col("rmse")) & (F.col("rmse") < 5)
-    return _als_eval(spark, d).metrics.select("n_rows", "n_valid", sane.alias("sane"))
+    """Row counts, and whether both errors are those of the dot products of the factor rows."""
+    found = _als_eval(spark, d)
+    again = RA.error_metrics(RA.recompute_predictions(found.model, found.predictions), pred_col="recomputed")
+    both = found.metrics.join(again.selectExpr("n_rows", "rmse AS rmse2", "mae AS mae2"), "n_rows")
+    equal = (F.abs(F.col("rmse") - F.col("rmse2")) <= 1e-5) & (F.abs(F.col("mae") - F.col("mae2")) <= 1e-5)
+    return both.select("n_rows", "n_valid", equal.alias("errors_match"))
+
+
+def _als_residuals(spark, d):
+    """Users with their ratings in the fit, and whether their factor row solves its normal equations."""
+    found = _als_eval(spark, d)
+    rows = RA.factor_residuals(found.model, found.train)
+    return rows.select("userId", "n_ratings", (F.col("residual") <= ALS_RESIDUAL).alias("is_solved"))
 
 
 def _builtin_metrics(spark, d):
@@ -194,6 +211,12 @@ def _listed_rules(spark, d):
     return P.basket_rules(V.listed_basket(spark, d), listed=True)
 
 
+def _retail_run_stats(spark, d):
+    """Statistics that the written retail rules left behind."""
+    stats = P.run_retail_rules(spark, V.retail(spark, d), shared_path(spark, "retail-run")).stats
+    return stats.select(*[F.round(c, DIGITS).alias(c) if c.startswith("mean_") else c for c in stats.columns])
+
+
 def _retail_output(name):
     def run(spark, d):
         return getattr(P.retail_rules(stage(V.retail(spark, d), "retail-lines")), name)
@@ -264,6 +287,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "pair_frequency_min_count": lambda s, d: B.pair_frequency(V.flat_basket(s, d), min_count=2),
         "collab_similarity_min_count": lambda s, d: CO.collaborative_similarity(V.implicit(s, d), min_count=3),
+        "association_rules_bitmaps": lambda s, d: R.association_rules(
+            V.word_basket(s, d), min_support=MIN_SUPPORT, dense_share=DENSE_DOCS
+        ),
+        "cooccurrence_count_bitmaps": lambda s, d: CO.cooccurrence_count(V.implicit(s, d), dense_share=DENSE_USERS),
+        "collab_similarity_bitmaps": lambda s, d: CO.collaborative_similarity(
+            V.implicit(s, d), min_count=3, dense_share=DENSE_USERS
+        ),
+        "top_lists": lambda s, d: R.top_lists(_rules(s, d), TOP_K),
+        "retail_run_stats": _retail_run_stats,
+        "content_pair_classes": lambda s, d: CT.cross_pair_classes(V.item_features(s, d)),
+        "als_residuals": _als_residuals,
         "basket_rules": lambda s, d: _listed_rules(s, d).rules,
         "basket_rules_per_antecedent": lambda s, d: _listed_rules(s, d).per_antecedent,
         "association_rules": lambda s, d: _rules(s, d),
@@ -543,8 +577,29 @@ SELECT CAST(l_partkey AS VARCHAR) AS item,
 FROM lineitem GROUP BY l_partkey""",
         "retail_rules_per_antecedent": f"SELECT antecedent, COUNT(*) n_rules FROM ({listed_rules}) q GROUP BY antecedent",
         "retail_rule_stats": _STATS,
-        "als_predictions": f"{cold} SELECT * FROM p",
-        "als_metrics": f"{cold} SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE NOT is_cold) AS n_valid, true AS sane FROM p",
+        "als_predictions": f"{cold} SELECT *, true AS is_dot_product FROM p",
+        "als_metrics": f"{cold} SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE NOT is_cold) AS n_valid, true AS errors_match FROM p",
+        "als_residuals": f'SELECT "userId", COUNT(*) AS n_ratings, true AS is_solved FROM ({train}) q GROUP BY "userId"',
+        "top_lists": " UNION ALL ".join(
+            f"""SELECT * FROM (SELECT '{m}' AS metric, row_number() OVER (ORDER BY {m} DESC, antecedent, consequent) AS place, r.*
+FROM ({_RULES}) r) q WHERE place <= {TOP_K}"""
+            for m in R.METRICS
+        ),
+        "retail_run_stats": _STATS,
+        "content_pair_classes": f"""
+WITH sp AS ({_SET_PAIRS}),
+o AS (SELECT fa, fb, m11, CAST(SUM(items_a * items_b) AS BIGINT) n_pairs FROM sp GROUP BY fa, fb, m11),
+s AS (SELECT CAST(len(features) AS BIGINT) size, COUNT(*) n FROM ({_ITEMS}) q GROUP BY len(features)),
+z AS (SELECT x.size fa, y.size fb, CAST(0 AS BIGINT) m11,
+             x.n * y.n - COALESCE((SELECT SUM(o.n_pairs) FROM o WHERE o.fa = x.size AND o.fb = y.size), 0) n_pairs FROM s x, s y),
+c AS (SELECT * FROM o UNION ALL SELECT * FROM z WHERE n_pairs > 0)
+SELECT fa AS size_a, fb AS size_b, m11, CAST(n_pairs AS BIGINT) AS n_pairs, {", ".join(f"{v} AS {k}" for k, v in _scores_sql("m11", "fa", "fb").items())}
+FROM c""",
+        "association_rules_bitmaps": _word_rules_sql(True, MIN_SUPPORT),
+        "cooccurrence_count_bitmaps": f"""
+WITH r AS (SELECT DISTINCT u, i FROM ({_IMPLICIT}) z)
+SELECT a.i AS item_a, b.i AS item_b, COUNT(*) AS n FROM r a JOIN r b ON a.u = b.u GROUP BY a.i, b.i""",
+        "collab_similarity_bitmaps": f"SELECT * FROM ({_COLLAB}) q WHERE n >= 3",
         "rmse_mae_builtin": f"""{_ITEM_MEAN}
 SELECT ROUND(sqrt(AVG(err * err)), {DIGITS}) AS rmse, ROUND(AVG(abs(err)), {DIGITS}) AS mae FROM e
 WHERE err IS NOT NULL AND NOT isnan(err)""",

@@ -100,6 +100,53 @@ def predict(model: ALSModel, test: DataFrame) -> DataFrame:
     return model.transform(test)
 
 
+_DOT = "aggregate(zip_with({}, {}, (p, q) -> CAST(p AS DOUBLE) * q), 0D, (s, x) -> s + x)"
+
+
+def recompute_predictions(model: ALSModel, pred: DataFrame, user_col: str = "userId", item_col: str = "itemId") -> DataFrame:
+    """``pred`` with ``recomputed``: the dot product of the two factor rows in double, NaN where one is missing.
+
+    Spark ML's own prediction sums floats; the two agree to float precision.
+    """
+    users = model.userFactors.select(F.col("id").alias(user_col), F.col("features").alias("_x"))
+    items = model.itemFactors.select(F.col("id").alias(item_col), F.col("features").alias("_y"))
+    both = pred.join(users, user_col, "left").join(items, item_col, "left")
+    dot = F.coalesce(F.expr(_DOT.format("_x", "_y")), F.lit(float("nan")))
+    return both.select(*[F.col(c) for c in pred.columns], dot.alias("recomputed"))
+
+
+def factor_residuals(
+    model: ALSModel,
+    train: DataFrame,
+    user_col: str = "userId",
+    item_col: str = "itemId",
+    rating_col: str = "rating",
+    *,
+    reg_param: float = ALS_REG_PARAM,
+) -> DataFrame:
+    """(user, n_ratings, residual): how far each user's factor row is from solving its normal equations.
+
+    ALS ends with the user side, so row x of a user with ratings r of items with rows y solves
+    ``sum((x.y - r) y) + reg * n * x = 0``.  ``residual`` is the length of the left side over that of
+    ``sum(r y)`` (0.0 where both are 0); a solved row shows the rounding of floats only, one that missed a
+    rating does not.  Item rows solve the equations of the user rows before the last step, which are gone.
+    Explicit feedback only; a user with a third of all ratings is partial sums of rank numbers per task.
+    """
+    rank = model.rank
+    users = model.userFactors.select(F.col("id").alias(user_col), F.col("features").alias("_x"))
+    items = model.itemFactors.select(F.col("id").alias(item_col), F.col("features").alias("_y"))
+    rated = train.select(user_col, item_col, F.col(rating_col).cast("double").alias("_r"))
+    rows = rated.join(items, item_col).join(users, user_col)
+    rows = rows.select(user_col, "_r", "_y", (F.expr(_DOT.format("_x", "_y")) - F.col("_r")).alias("_e"))
+    sums = [F.sum(F.expr(f"_e * _y[{k}]")).alias(f"_g{k}") for k in range(rank)]
+    sums += [F.sum(F.expr(f"_r * _y[{k}]")).alias(f"_b{k}") for k in range(rank)]
+    found = rows.groupBy(user_col).agg(F.count(F.lit(1)).alias("n_ratings"), *sums).join(users, user_col)
+    left = " + ".join(f"power(_g{k} + {reg_param!r}D * n_ratings * _x[{k}], 2)" for k in range(rank))
+    right = " + ".join(f"_b{k} * _b{k}" for k in range(rank))
+    residual = f"CASE WHEN ({left}) = 0 THEN 0D ELSE sqrt(({left}) / ({right})) END"
+    return found.select(user_col, "n_ratings", F.expr(residual).alias("residual"))
+
+
 def error_metrics(pred: DataFrame, label_col: str = "rating", pred_col: str = "prediction") -> DataFrame:
     """One row: n_rows, n_valid (non-NaN errors), rmse and mae over the valid rows.
 

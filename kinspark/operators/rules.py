@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinspark.functions.measures import confidence_sql, lift_sql
 from kinspark.operators.baskets import _n_col
+from kinspark.operators.bitmaps import split_pair_counts
 from kinspark.operators.pairs import (
     DEFAULT_TILE_ROWS,
     item_totals,
@@ -22,6 +23,9 @@ from kinspark.operators.pairs import (
 RULE_COLUMNS = ["antecedent", "consequent", "ant_support", "cons_support", "support", "confidence", "lift"]
 METRICS = ("support", "confidence", "lift")
 
+#: Parts that rules are ranked in first when lists are longer than the window group limit.
+LIST_SALTS = 256
+
 
 def association_rules(
     flat: DataFrame,
@@ -32,6 +36,7 @@ def association_rules(
     n_baskets: int | Column | None = None,
     min_support: float | None = None,
     tile_rows: int | None = DEFAULT_TILE_ROWS,
+    dense_share: float | None = None,
 ) -> DataFrame:
     """All 1 -> 1 rules a -> b (a != b) over baskets of (trans, item) rows.
 
@@ -43,7 +48,11 @@ def association_rules(
     programs, where repeats inflate counts and support can pass 1.
     ``min_support`` (off by default) keeps rules of at least that support; items
     whose pairs can't reach it leave the baskets before the self-join.
+    ``dense_share`` (set form, off by default) counts pairs of items that this share of the
+    baskets holds by bit arrays (:mod:`kinspark.operators.bitmaps`).
     """
+    if dense_share is not None and not dedupe:
+        raise ValueError("dense_share needs the set form: a bit holds no multiplicity")
     if min_support is not None:
         n = F.lit(row_counts(flat, trans_col, item_col).count()) if n_baskets is None else _n_col(flat, trans_col, n_baskets)
         freq = reaching(flat, trans_col, item_col, dedupe, F.lit(float(min_support)), n)
@@ -57,6 +66,22 @@ def association_rules(
         else:
             n = row_counts(flat, trans_col, item_col).select(F.count(F.lit(1))).scalar()
         freq = item_totals(memb.all(), item_col, "freq")
+    if dense_share is not None:
+        # the groups that bits are dealt over: those with a row left
+        n_groups = memb.n_groups if memb.n_groups is not None else memb.all().select(trans_col).distinct().count()
+        half = split_pair_counts(
+            memb,
+            freq,
+            trans_col,
+            item_col,
+            n_groups=n_groups,
+            share=dense_share,
+            tile_rows=tile_rows,
+            a_col="antecedent",
+            b_col="consequent",
+            count_col="_n",
+        )
+        return rules_from_counts(half, n, min_support=min_support)
     # counts for a < b only, with the two frequencies, then mirrored
     half = pair_counts(
         flat,
@@ -107,11 +132,44 @@ def top_rules(rules: DataFrame, metric: str = "support", k: int = 100) -> DataFr
     return rules.orderBy(F.desc(metric), F.asc("antecedent"), F.asc("consequent")).limit(k)
 
 
+def top_lists(rules: DataFrame, k: int = 100, metrics: tuple[str, ...] = METRICS) -> DataFrame:
+    """(metric, place, rule columns): the k best rules by each metric, from one scan of the rules.
+
+    Each list is that of :func:`top_rules`, ties included.  A rule becomes one row per metric, and
+    a task sends at most k rows per metric to the ranking: Spark's window group limit drops the
+    others before the shuffle.  It is bounded by a setting, so longer lists are ranked per salt first.
+    """
+    for m in metrics:
+        if m not in METRICS:
+            raise ValueError(f"metric must be one of {METRICS}, not {m!r}")
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics]))
+    ranked = rules.select(*RULE_COLUMNS, each.alias("_e")).select("_e.metric", "_e.value", *RULE_COLUMNS)
+    order = [F.desc("value"), F.asc("antecedent"), F.asc("consequent")]
+    if k > int(rules.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        salt = F.pmod(F.xxhash64("antecedent", "consequent"), F.lit(LIST_SALTS))
+        local = F.row_number().over(Window.partitionBy("metric", salt).orderBy(*order))
+        ranked = ranked.withColumn("_local", local).where(F.col("_local") <= k).drop("_local")
+    place = F.row_number().over(Window.partitionBy("metric").orderBy(*order))
+    best = ranked.withColumn("place", place).where(F.col("place") <= k)
+    return best.select("metric", F.col("place").cast("bigint").alias("place"), *RULE_COLUMNS)
+
+
 def rules_per_antecedent(rules: DataFrame) -> DataFrame:
     """(antecedent, n_rules)."""
     return rules.groupBy("antecedent").agg(F.count(F.lit(1)).alias("n_rules"))
 
 
+def stat_columns(mean_digits: int | None = None) -> list[Column]:
+    """The aggregates of :func:`rule_stats`, also for a write that is observed."""
+    aggs = [F.count(F.lit(1)).alias("n_rules")]
+    for m in METRICS:
+        mean = F.avg(m)
+        if mean_digits is not None:
+            mean = F.round(mean, mean_digits)
+        aggs += [F.min(m).alias(f"min_{m}"), F.max(m).alias(f"max_{m}"), mean.alias(f"mean_{m}")]
+    return aggs
+
+
 def rule_stats(rules: DataFrame, mean_digits: int | None = None) -> DataFrame:
     """One row: rule count and min / max / mean of support, confidence, lift.
 
@@ -119,13 +177,7 @@ def rule_stats(rules: DataFrame, mean_digits: int | None = None) -> DataFrame:
     doubles, whose last bits depend on summation order; ``mean_digits``
     rounds them for comparisons across engines.
     """
-    aggs = [F.count(F.lit(1)).alias("n_rules")]
-    for m in METRICS:
-        mean = F.avg(m)
-        if mean_digits is not None:
-            mean = F.round(mean, mean_digits)
-        aggs += [F.min(m).alias(f"min_{m}"), F.max(m).alias(f"max_{m}"), mean.alias(f"mean_{m}")]
-    return rules.agg(*aggs)
+    return rules.agg(*stat_columns(mean_digits))
 
 
 def rules_with_descriptions(

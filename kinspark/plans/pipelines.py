@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.recommendation import ALSModel
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from kinspark.operators.baskets import basket_count_col, flatten_baskets, item_support
 from kinspark.operators.collab import collaborative_similarity
@@ -23,10 +25,13 @@ from kinspark.operators.retail import (
     retail_summary,
 )
 from kinspark.operators.rules import (
+    METRICS,
     association_rules,
     rule_stats,
     rules_per_antecedent,
     rules_with_descriptions,
+    stat_columns,
+    top_lists,
     top_rules,
 )
 from kinspark.session import stage
@@ -52,16 +57,42 @@ class RetailRules:
     top_lift: DataFrame
 
 
-def retail_rules(lines: DataFrame, *, dedupe: bool = True, k: int = TOP_K, rules: DataFrame | None = None) -> RetailRules:
+def write_rules(rules: DataFrame, path: str) -> DataFrame:
+    """Write the rules as Parquet and return their :func:`rule_stats`, gathered by the write itself.
+
+    The statistics are observed in the stage that writes, so the rules are neither planned nor read again for them.
+    """
+    seen = Observation("rule statistics")
+    write_table(rules.observe(seen, *stat_columns()), path)
+    schema = "n_rules bigint, " + ", ".join(f"{f}_{m} double" for m in METRICS for f in ("min", "max", "mean"))
+    found = {"n_rules": 0, **seen.get}
+    columns = [c.split()[0] for c in schema.split(", ")]
+    return rules.sparkSession.createDataFrame([tuple(found.get(c) for c in columns)], schema)
+
+
+def retail_rules(
+    lines: DataFrame,
+    *,
+    dedupe: bool = True,
+    k: int = TOP_K,
+    rules: DataFrame | None = None,
+    stats: DataFrame | None = None,
+    lists: DataFrame | None = None,
+) -> RetailRules:
     """Summary, catalogue, item support, rules, their statistics, descriptions and the three top-k lists.
 
-    Pass ``rules`` to reuse a rule table already written (see
-    :func:`run_retail_rules`); otherwise it is planned from ``lines``.
+    Pass ``rules`` to reuse a rule table already written, ``stats`` and ``lists`` (a :func:`top_lists`
+    table) to reuse what came with it (see :func:`run_retail_rules`); otherwise all are planned from ``lines``.
     """
     baskets = retail_baskets(lines)
     if rules is None:
         rules = association_rules(baskets, dedupe=dedupe)
     desc = item_descriptions(lines)
+
+    def top(metric: str) -> DataFrame:
+        best = top_rules(rules, metric, k) if lists is None else lists.where(F.col("metric") == metric)
+        return rules_with_descriptions(best, desc)
+
     return RetailRules(
         summary=retail_summary(lines),
         countries=distinct_countries(lines),
@@ -70,19 +101,22 @@ def retail_rules(lines: DataFrame, *, dedupe: bool = True, k: int = TOP_K, rules
         rules=rules,
         rules_with_descriptions=rules_with_descriptions(rules, desc),
         per_antecedent=rules_per_antecedent(rules),
-        stats=rule_stats(rules),
-        top_support=rules_with_descriptions(top_rules(rules, "support", k), desc),
-        top_confidence=rules_with_descriptions(top_rules(rules, "confidence", k), desc),
-        top_lift=rules_with_descriptions(top_rules(rules, "lift", k), desc),
+        stats=rule_stats(rules) if stats is None else stats,
+        top_support=top("support"),
+        top_confidence=top("confidence"),
+        top_lift=top("lift"),
     )
 
 
 def run_retail_rules(spark: SparkSession, lines: DataFrame, out_dir: str, *, dedupe: bool = True, fmt: str = "parquet") -> RetailRules:
     """Write every retail output under ``out_dir``: lines are staged and the rules written first,
-    everything else comes from those copies."""
+    everything else comes from those copies.  The write of the rules yields their statistics, and one more
+    scan of them the three top-k lists."""
     lines = stage(lines, "retail-lines")
-    write_table(association_rules(retail_baskets(lines), dedupe=dedupe), f"{out_dir}/rules", fmt="parquet")
-    res = retail_rules(lines, dedupe=dedupe, rules=spark.read.parquet(f"{out_dir}/rules"))
+    stats = write_rules(association_rules(retail_baskets(lines), dedupe=dedupe), f"{out_dir}/rules")
+    rules = spark.read.parquet(f"{out_dir}/rules")
+    lists = stage(top_lists(rules, TOP_K), "top-lists")
+    res = retail_rules(lines, dedupe=dedupe, rules=rules, stats=stats, lists=lists)
     write_table(rule_lines(res.rules_with_descriptions, with_descriptions=True), f"{out_dir}/rules_with_item_desc", fmt="text")
     for f in fields(res):
         if f.name not in ("rules", "rules_with_descriptions"):
@@ -105,6 +139,7 @@ def basket_rules(
     trans_col: str = "trans_id",
     item_col: str = "item",
     rules: DataFrame | None = None,
+    stats: DataFrame | None = None,
 ) -> BasketRules:
     """Rules, rules per antecedent and rule statistics for basket input.
 
@@ -117,13 +152,15 @@ def basket_rules(
         flat = flatten_baskets(baskets, trans_col, "items", item_col) if listed else baskets
         n = basket_count_col(baskets, trans_col, by="rows") if listed else None
         rules = association_rules(flat, trans_col, item_col, dedupe=dedupe, n_baskets=n)
-    return BasketRules(rules=rules, per_antecedent=rules_per_antecedent(rules), stats=rule_stats(rules))
+    return BasketRules(
+        rules=rules, per_antecedent=rules_per_antecedent(rules), stats=rule_stats(rules) if stats is None else stats
+    )
 
 
 def run_basket_rules(spark: SparkSession, baskets: DataFrame, out_dir: str, *, listed: bool, fmt: str = "parquet") -> BasketRules:
-    """Write the rules, and from the written copy the rules per antecedent and the statistics."""
-    write_table(basket_rules(baskets, listed=listed).rules, f"{out_dir}/rules")
-    res = basket_rules(baskets, listed=listed, rules=spark.read.parquet(f"{out_dir}/rules"))
+    """Write the rules, and from the written copy the rules per antecedent; the write yields the statistics."""
+    stats = write_rules(basket_rules(baskets, listed=listed).rules, f"{out_dir}/rules")
+    res = basket_rules(baskets, listed=listed, rules=spark.read.parquet(f"{out_dir}/rules"), stats=stats)
     write_table(res.per_antecedent, f"{out_dir}/per_antecedent", fmt=fmt)
     write_table(res.stats, f"{out_dir}/stats", fmt=fmt)
     return res
@@ -150,6 +187,8 @@ def run_content_similarities(items: DataFrame, out_dir: str, **options) -> DataF
 class AlsEvaluation:
     predictions: DataFrame
     metrics: DataFrame
+    model: ALSModel
+    train: DataFrame
 
 
 def evaluate_als(
@@ -167,4 +206,4 @@ def evaluate_als(
         train, test = hash_split(stage(ratings, "ratings"))
     model = fit_als(train, seed=seed, **als_params)
     pred = stage(predict(model, test), "predictions")
-    return AlsEvaluation(predictions=pred, metrics=error_metrics(pred))
+    return AlsEvaluation(predictions=pred, metrics=error_metrics(pred), model=model, train=train)
