@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from kinspark.operators import basket_store as BS  # noqa: E402
 from kinspark.operators import baskets as B  # noqa: E402
 from kinspark.operators import collab as CO  # noqa: E402
 from kinspark.operators import content as CT  # noqa: E402
@@ -76,6 +77,13 @@ def _basket_pairs(spark, d):
     return B.basket_pairs(V.flat_basket(spark, d), dedupe=False)
 
 
+def _store(spark, flat):
+    """The baskets written as a bucketed store, and opened again."""
+    path = shared_path(spark, "basket-store")
+    BS.write_baskets(flat, path).forget()
+    return BS.open_baskets(spark, path)
+
+
 # ------------------------------------------------------------ content queries
 
 
@@ -298,6 +306,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "retail_run_stats": _retail_run_stats,
         "content_pair_classes": lambda s, d: CT.cross_pair_classes(V.item_features(s, d)),
         "als_residuals": _als_residuals,
+        # the same over a bucketed store
+        "store_basket_count": lambda s, d: _store(s, V.flat_basket(s, d)).basket_count(),
+        "store_item_support": lambda s, d: _store(s, V.flat_basket(s, d)).item_support(),
+        "store_basket_pairs": lambda s, d: _store(s, V.flat_basket(s, d)).basket_pairs(),
+        "store_pair_frequency_bag": lambda s, d: _store(s, V.flat_basket(s, d)).pair_frequency(dedupe=False),
+        "store_rules": lambda s, d: _store(s, V.flat_basket(s, d)).rules(),
+        "store_rules_min_support": lambda s, d: _store(s, V.word_basket(s, d)).rules(min_support=MIN_SUPPORT),
+        "store_rules_bag_min_support": lambda s, d: _store(s, V.word_basket(s, d)).rules(dedupe=False, min_support=MIN_SUPPORT_BAG),
         "basket_rules": lambda s, d: _listed_rules(s, d).rules,
         "basket_rules_per_antecedent": lambda s, d: _listed_rules(s, d).per_antecedent,
         "association_rules": lambda s, d: _rules(s, d),
@@ -529,6 +545,18 @@ m AS (SELECT "itemId", AVG(CAST(rating AS DOUBLE)) mean FROM train GROUP BY "ite
 e AS (SELECT CAST(t.rating AS DOUBLE) - m.mean err FROM test t LEFT JOIN m ON m."itemId" = t."itemId")"""
 
 
+#: Queries over a basket store, and those that give the same rows without one.
+_STORED = {
+    "store_basket_count": "basket_count",
+    "store_item_support": "item_support",
+    "store_basket_pairs": "basket_pairs",
+    "store_pair_frequency_bag": "pair_frequency_bag",
+    "store_rules": "association_rules",
+    "store_rules_min_support": "association_rules_min_support",
+    "store_rules_bag_min_support": "association_rules_bag_min_support",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for every query that has an exact SQL form."""
     listed = """
@@ -541,7 +569,7 @@ WITH r AS ({_RATING}), train AS ({train}), t AS (SELECT * FROM r WHERE {_BUCKET}
 p AS (SELECT t."userId", t."itemId", t.rating,
   ("userId" NOT IN (SELECT "userId" FROM train) OR "itemId" NOT IN (SELECT "itemId" FROM train)) AS is_cold FROM t)
 """
-    return {
+    found = {
         **(LLM.oracle_sql() if LLM else {}),
         "listed_baskets": listed,
         "flat_baskets": "SELECT CAST(l_orderkey AS VARCHAR) trans_id, CAST(l_partkey AS VARCHAR) item FROM lineitem",
@@ -677,3 +705,4 @@ SELECT ROUND(AVG(abs(err)) FILTER (WHERE err IS NOT NULL AND NOT isnan(err)), {D
         "eval_counts": f"""{_ITEM_MEAN}
 SELECT COUNT(*) AS n_rows, COUNT(err) FILTER (WHERE NOT isnan(err)) AS n_valid FROM e""",
     }
+    return {**found, **{stored: found[plain] for stored, plain in _STORED.items()}}
