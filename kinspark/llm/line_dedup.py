@@ -5,7 +5,8 @@ one row (hash, documents holding the line, largest such doc_id) per line, each l
 batch of documents is hashed once, reduced to one row per line and merge-anti-joined with every
 run (``LineRuns.unseen``): lines that no run has become the batch's own run of level 0.  The batch's counts of lines
 that runs already have are kept as updates beside the runs, as a line is dropped for how many documents hold it.
-When a level holds ``fanout`` runs, they are merged into one run of the next level (with the updates, if no other run is left), so n
+When a level holds ``fanout`` runs, they are merged in pairs, by full outer merge joins, into one run of the
+next level (with the updates, if no other run is left), so n
 batches leave O(fanout * log n) runs and each row is rewritten O(log n) times.  Runs and updates are written
 partitioned and sorted by hash, every step shuffles by hash, and a line that a third of all documents share is one
 row per task before it moves.
@@ -23,7 +24,6 @@ empty table gives no rows; other columns are ignored or carried as one struct.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 import xxhash
@@ -69,6 +69,13 @@ def hashed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return real.mapInArrow(run, "doc_id long, h binary")
 
 
+def _merge_two(a: DataFrame, b: DataFrame) -> DataFrame:
+    b = b.select("h", F.col("n_docs").alias("more"), F.col("max_doc").alias("other"))
+    both = a.join(b.hint("merge"), "h", "full_outer")
+    n = F.coalesce("n_docs", F.lit(0)) + F.coalesce("more", F.lit(0))
+    return both.select("h", n.alias("n_docs"), F.greatest("max_doc", "other").alias("max_doc"))
+
+
 class LineRuns:
     """Levelled sorted runs in shared storage; ``levels[i]`` lists the run tables of level i, oldest first."""
 
@@ -79,8 +86,11 @@ class LineRuns:
 
     @staticmethod
     def _merged(tables: list[DataFrame]) -> DataFrame:
-        rows = reduce(DataFrame.unionByName, tables)
-        return rows.groupBy("h").agg(F.sum("n_docs").alias("n_docs"), F.max("max_doc").alias("max_doc"))
+        """Tables of one row a line, merged in pairs, then the pairs, and so on: each step is a full outer merge join."""
+        while len(tables) > 1:
+            rest = tables[len(tables) // 2 * 2 :]
+            tables = [_merge_two(a, b) for a, b in zip(tables[::2], tables[1::2])] + rest
+        return tables[0]
 
     @staticmethod
     def _batch(lines: DataFrame) -> DataFrame:

@@ -78,3 +78,17 @@ def test_batches_go_through_the_anti_join(small_docs, monkeypatch):
     rows = [(r.doc_id, r.text) for r in small_docs.collect()]
     assert Counter(map(tuple, got.collect())) == model(rows, L.MIN_CHARS, 2)
     assert [n for n, _ in plans] == [1, 1, 2] and all(p.count("SortMergeJoin") == n and "LeftAnti" in p for n, p in plans)
+
+
+def test_compaction_merges_sorted_tables(spark):
+    tables, want = [], {}
+    for t in range(5):
+        rows = [(bytes([j]), j + t + 1, 100 * t - j) for j in range(t, 9, t + 1)]
+        tables.append(spark.createDataFrame(rows, "h binary, n_docs long, max_doc long"))
+        for h, n, d in rows:
+            old = want.get(h, (0, d))
+            want[h] = (old[0] + n, max(old[1], d))
+    merged = L.LineRuns._merged(tables)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == plan.count("FullOuter") == 4 and "Aggregate" not in plan
+    assert {bytes(r.h): (r.n_docs, r.max_doc) for r in merged.collect()} == want
