@@ -11,6 +11,14 @@ from tokenizers import Tokenizer
 from kinspark.llm import line_dedup, packing, quality_rules, secret_scan
 
 
+def redacted(text):
+    find, keys = secret_scan.matcher(secret_scan.RULES), {r.key for r in secret_scan.RULES}
+    hit = [False] * (len(text) + 1)
+    for _, a, b in find(text, keys):
+        hit[a:b] = [True] * (b - a)
+    return re.sub("\0+", secret_scan.REDACTED, "".join("\0" if h else c for c, h in zip(text, hit)))
+
+
 def plain_stages(rows):
     """The stages on (doc_id, text) rows in plain Python, the quality verdict excepted."""
     out = [("lines", Counter((i, t) for (i, _, _, t), n in lines_model(rows, line_dedup.MIN_CHARS, line_dedup.MIN_DOCS).items() for _ in range(n)))]
@@ -22,14 +30,6 @@ def plain_stages(rows):
     for i, _, f in prints:
         least[root[f]] = min(i, least.get(root[f], i))
     out.append(("near", Counter({(i, t): 1 for i, t, f in prints if least[root[f]] == i})))
-    find, keys = secret_scan.matcher(secret_scan.RULES), {r.key for r in secret_scan.RULES}
-
-    def redacted(text):
-        hit = [False] * (len(text) + 1)
-        for _, a, b in find(text, keys):
-            hit[a:b] = [True] * (b - a)
-        return re.sub("\0+", secret_scan.REDACTED, "".join("\0" if h else c for c, h in zip(text, hit)))
-
     out.append(("secrets", Counter((i, redacted(t)) for i, t in out[-1][1].elements())))
     return out
 
@@ -76,3 +76,34 @@ def test_awkward_and_empty(spark, awkward, no_rows):
             assert function(spark, docs, "").columns == list(C.COLUMNS)
             function(spark, docs, "").count()
         assert (C.packing_stage(spark, docs, "").count() > 0) == (docs is awkward)
+
+
+def test_awkward_rows_have_their_stated_results(spark, awkward):
+    """Nulls, ties, repeated rows, long texts and clashing columns, stage by stage."""
+    rows = [(r.doc_id, r.text) for r in awkward.select("doc_id", "text").collect()]
+
+    def found(function):
+        return Counter((r.doc_id, r.text) for r in function(spark, awkward, "").collect())
+
+    judged = quality_rules.quality_rules(awkward).where("kept").collect()
+    quality = found(C.quality_stage)
+    assert quality and quality <= Counter(rows) and all(t for _, t in quality)
+    assert Counter(r.doc_id for r in judged) == Counter(i for i, _ in quality.elements())
+
+    lines = lines_model(rows, line_dedup.MIN_CHARS, line_dedup.MIN_DOCS)
+    assert found(C.line_stage) == Counter((i, t) for i, _, _, t in lines.elements())
+
+    prints = {(i, model_print(t)) for i, t in rows}
+    fps = sorted({f for _, f in prints})
+    root = components(fps, [(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 3])
+    least = {r: min((i for i, f in prints if root[f] == r and i is not None), default=None) for r in set(root.values())}
+    near = found(C.near_copy_stage)
+    assert near <= Counter(rows)
+    assert Counter((i, model_print(t)) for i, t in near.elements()) == Counter((i, f) for i, f in prints if least[root[f]] == i)
+
+    assert found(C.secret_stage) == Counter((i, t and redacted(t)) for i, t in rows)
+
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer_path())
+    packed = C.packing_stage(spark, awkward, "").collect()
+    assert sum(r.n_tokens for r in packed) == sum(len(ids_of(tokenizer, t)) for _, t in rows)
+    assert {i for r in packed for i in r.doc_ids} == {i for i, _ in rows}
