@@ -27,7 +27,7 @@ from __future__ import annotations
 import json
 import math
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +35,8 @@ from pyspark.sql import types as T
 
 from kinspark.operators.pairs import (
     DEFAULT_TILE_ROWS,
+    PAIRS_PER_COUNT,
+    PAIRS_PER_TASK,
     Members,
     group_work,
     item_bounds,
@@ -135,8 +137,15 @@ class BasketStore:
         return F.lit(self.n_baskets if n_baskets is None else int(n_baskets))
 
     def _half(self, dedupe: bool, least: int | None, frequency: bool, count_col: str) -> DataFrame:
-        memb = self.members(dedupe, least, frequency)
-        return pair_counts(
+        memb = self.members(dedupe, least, frequency=True)
+        items = self.items()
+        if least is not None:
+            items = items.where(F.col("set_freq" if dedupe else "bag_most") >= F.lit(least).cast("long"))
+        rows = items.agg(F.sum("set_freq")).first()[0] or 0
+        counters = self.parts * (PAIRS_PER_TASK // PAIRS_PER_COUNT) if self.parts > 1 else 1
+        freq = items.select("item", F.col("set_freq" if dedupe else "bag_freq").alias("freq"))
+        memb = replace(memb, rows=int(rows), counters=counters, freq=freq)
+        counts = pair_counts(
             memb.normal,
             "trans_id",
             "item",
@@ -147,6 +156,7 @@ class BasketStore:
             count_col=count_col,
             memb=memb,
         )
+        return counts if frequency else counts.drop("_fa", "_fb")
 
 
 def _item_counts(rows: DataFrame) -> DataFrame:
