@@ -13,7 +13,7 @@ The self-join is on the bucket key, so both its sides are scans without an excha
 lie in the rows, so rules need no join by item, which would move every row twice where items are too
 many to broadcast.  A least count is a filter on a stored integer, which Parquet evaluates in the scan.
 
-Buckets follow the pair work and the number of rows, whichever asks for more.  Set and bag form come from one store.
+Buckets follow the pair work and the number of rows, whichever asks for more; no bucket is opened for less than ``LEAST_PER_BUCKET`` rows.  Set and bag form come from one store.
 
 A table in the catalog names the buckets; :func:`open_baskets` registers a folder written by an
 earlier session.  ``forget`` drops the name and leaves the files.
@@ -52,6 +52,9 @@ from kinspark.session import stage
 #: Rows that a bucket is meant to hold at most, hot baskets aside.
 ROWS_PER_BUCKET = 4_000_000
 
+#: Rows below which pair work alone opens no further bucket: a bucket is a file and a task of every read, also of pruned ones.
+LEAST_PER_BUCKET = 100_000
+
 _COUNTS = ["set_freq", "bag_freq", "bag_most"]
 _FACTS = "n_baskets bigint, buckets int, parts int, has_hot boolean, fields string"
 
@@ -141,10 +144,12 @@ class BasketStore:
         items = self.items()
         if least is not None:
             items = items.where(F.col("set_freq" if dedupe else "bag_most") >= F.lit(least).cast("long"))
-        rows = items.agg(F.sum("set_freq")).first()[0] or 0
-        counters = self.parts * (PAIRS_PER_TASK // PAIRS_PER_COUNT) if self.parts > 1 else 1
+        found = items.agg(F.sum("set_freq").alias("rows"), F.count(F.lit(1)).alias("n")).first()
+        # a partition's counts are of different pairs, of which few items have few
+        most = min(self.parts * (PAIRS_PER_TASK // PAIRS_PER_COUNT), math.ceil(found["n"] ** 2 / 2 / PAIRS_PER_COUNT))
+        counters = max(most, min(self.parts, self.spark.sparkContext.defaultParallelism))
         freq = items.select("item", F.col("set_freq" if dedupe else "bag_freq").alias("freq"))
-        memb = replace(memb, rows=int(rows), counters=counters, freq=freq)
+        memb = replace(memb, rows=int(found["rows"] or 0), counters=counters, freq=freq, pruned=least is not None)
         counts = pair_counts(
             memb.normal,
             "trans_id",
@@ -180,11 +185,12 @@ def write_baskets(
     flat = flat.select(F.col(trans_col).alias("trans_id"), F.col(item_col).alias("item"))
     sizes = stage(row_counts(flat, "trans_id", "item"), "basket-sizes")
     work = group_work(sizes)
-    memb = split_members(flat, "trans_id", "item", dedupe=False, tile_rows=tile_rows, sizes=sizes)
+    parts = work.partitions(spark.sparkContext.defaultParallelism)
     if buckets is None:
         rows = sum(m * n for m, n, _ in work.classes if m <= tile_rows)
-        buckets = max(memb.parts, math.ceil(rows / ROWS_PER_BUCKET))
+        buckets = max(min(parts, math.ceil(rows / LEAST_PER_BUCKET)), math.ceil(rows / ROWS_PER_BUCKET), 1)
         buckets = min(buckets, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    memb = split_members(flat, "trans_id", "item", dedupe=False, tile_rows=tile_rows, sizes=sizes, deal=buckets)
     normal = stage(memb.normal, "basket-rows")
     hot = stage(memb.hot, "hot-basket-rows") if memb.hot is not None else None
     counts = _item_counts(normal if hot is None else normal.unionByName(hot.drop("_nt")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,6 +59,7 @@ def association_rules(
         n = F.lit(row_counts(flat, trans_col, item_col).count()) if n_baskets is None else _n_col(flat, trans_col, n_baskets)
         freq = reaching(flat, trans_col, item_col, dedupe, F.lit(float(min_support)), n)
         memb = split_members(rows_of(flat, trans_col, item_col, freq), trans_col, item_col, dedupe, tile_rows)
+        memb = replace(memb, pruned=True)
     else:
         memb = split_members(flat, trans_col, item_col, dedupe, tile_rows)
         if n_baskets is not None:
@@ -194,3 +197,22 @@ def rules_with_descriptions(
     cons = catalog.select(F.col(item_col).alias("consequent"), F.col(desc_col).alias("cons_description"))
     out = rules.join(ant, "antecedent", "left").join(cons, "consequent", "left")
     return out.select(*RULE_COLUMNS, "ant_description", "cons_description")
+
+
+def described_rules(
+    rules: DataFrame, catalog: DataFrame, item_col: str = "stock_code", desc_col: str = "description"
+) -> DataFrame:
+    """:func:`rules_with_descriptions` of a table that holds every rule in both directions.
+
+    Only a < b rows are joined to the catalogue, which is a shuffle of the rules for each of the two items where
+    the catalogue is too large to broadcast; the other direction swaps supports and descriptions, and
+    divides its confidence as the first did.
+    """
+    half = rules.where("antecedent < consequent").drop("confidence")
+    ant = catalog.select(F.col(item_col).alias("antecedent"), F.col(desc_col).alias("ant_description"))
+    cons = catalog.select(F.col(item_col).alias("consequent"), F.col(desc_col).alias("cons_description"))
+    found = half.join(ant, "antecedent", "left").join(cons, "consequent", "left")
+    swap = [("ant_support", "cons_support"), ("ant_description", "cons_description")]
+    both = mirror(found, "antecedent", "consequent", ["support", "lift"], swap=swap)
+    confidence = F.expr(confidence_sql("support", "ant_support")).alias("confidence")
+    return both.select("*", confidence).select(*RULE_COLUMNS, "ant_description", "cons_description")
