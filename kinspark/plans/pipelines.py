@@ -27,6 +27,7 @@ from kinspark.operators.retail import (
 from kinspark.operators.rules import (
     METRICS,
     association_rules,
+    described_rules,
     rule_stats,
     rules_per_antecedent,
     rules_with_descriptions,
@@ -99,7 +100,7 @@ def retail_rules(
         catalog=item_catalog(lines),
         item_support=item_support(baskets, dedupe=dedupe),
         rules=rules,
-        rules_with_descriptions=rules_with_descriptions(rules, desc),
+        rules_with_descriptions=described_rules(rules, desc),
         per_antecedent=rules_per_antecedent(rules),
         stats=rule_stats(rules) if stats is None else stats,
         top_support=top("support"),
