@@ -35,6 +35,7 @@ def test_often_seldom_and_mixed_items(spark, monkeypatch, kind, tile):
     conv = str if kind == "string" else int
     for least in (1, 15, 10_000):  # all items combined first, the six common ones, none
         monkeypatch.setattr(PR, "MIN_OFTEN", least)
+        monkeypatch.setattr(PR, "LIST_PAIRS", 0)
         monkeypatch.setattr(PR.math, "isqrt", lambda n: 0)
         for dedupe in (True, False):
             got = PR.pair_counts(df, "g", "i", dedupe=dedupe, tile_rows=tile).collect()
