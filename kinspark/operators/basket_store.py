@@ -35,17 +35,20 @@ from pyspark.sql import types as T
 
 from kinspark.operators.pairs import (
     DEFAULT_TILE_ROWS,
+    LIST_PAIRS,
     PAIRS_PER_COUNT,
     PAIRS_PER_TASK,
     Members,
     group_work,
     item_bounds,
     mirror,
+    ordered_pairs,
     pair_counts,
     pair_rows,
     row_counts,
     split_members,
 )
+from kinspark.operators.products import FEW_ITEMS, few_pair_counts
 from kinspark.operators.rules import rules_from_counts
 from kinspark.session import stage
 
@@ -145,10 +148,16 @@ class BasketStore:
         if least is not None:
             items = items.where(F.col("set_freq" if dedupe else "bag_most") >= F.lit(least).cast("long"))
         found = items.agg(F.sum("set_freq").alias("rows"), F.count(F.lit(1)).alias("n")).first()
+        freq = items.select("item", F.col("set_freq" if dedupe else "bag_freq").alias("freq"))
+        if least is not None and 0 < found["n"] <= FEW_ITEMS:
+            work = group_work(memb.all().groupBy("trans_id").agg(F.count(F.lit(1)).alias("_m")))
+            if work.pairs > LIST_PAIRS * work.rows:
+                rows = memb.all().drop("_f")
+                counts = few_pair_counts(rows, freq, "trans_id", "item", n_items=found["n"], n_rows=work.rows)
+                return ordered_pairs(counts, "antecedent", "consequent", count_col, frequency)
         # a partition's counts are of different pairs, of which few items have few
         most = min(self.parts * (PAIRS_PER_TASK // PAIRS_PER_COUNT), math.ceil(found["n"] ** 2 / 2 / PAIRS_PER_COUNT))
         counters = max(most, min(self.parts, self.spark.sparkContext.defaultParallelism))
-        freq = items.select("item", F.col("set_freq" if dedupe else "bag_freq").alias("freq"))
         memb = replace(memb, rows=int(found["rows"] or 0), counters=counters, freq=freq, pruned=least is not None)
         counts = pair_counts(
             memb.normal,

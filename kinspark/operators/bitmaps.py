@@ -18,6 +18,8 @@ row per 512 groups here and at least ``512 * share^2`` rows in the self-join, so
 block saves half, is the least share that pays.  Item frequencies sum to the member rows, so there are at most
 (rows per group) / share dense items, however many groups there are; beyond ``tile_rows`` of them a block is tiled.
 
+Where a least count leaves few items, matrix products count the rest (:func:`split_few_counts`).
+
 Set form only: a bit holds no multiplicity.  NULL groups and items count for nothing, repeated rows
 once, an empty table has no pairs; a share above 1 makes every item sparse, 0 makes every item dense.
 """
@@ -30,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinspark.operators.pairs import DEFAULT_TILE_ROWS, PAIRS_PER_TASK, Members, _q, with_frequency
+from kinspark.operators.products import few_pair_counts
 
 DENSE_SHARE = 1 / 16
 WORDS = 8
@@ -150,3 +153,36 @@ def split_pair_counts(
         slots = freq.sparkSession.sparkContext.defaultParallelism
         counts = counts.unionByName(dense_pair_counts(bits, n_groups, n_dense, tile_rows or DEFAULT_TILE_ROWS, slots))
     return counts.select(F.col("_a").alias(a_col), F.col("_b").alias(b_col), F.col("_n").alias(count_col), "_fa", "_fb")
+
+
+def split_few_counts(
+    rows: DataFrame,
+    freq: DataFrame,
+    group_col: str,
+    item_col: str,
+    *,
+    n_items: int,
+    n_rows: int,
+    n_groups: int,
+    share: float = DENSE_SHARE,
+    tile_rows: int | None = DEFAULT_TILE_ROWS,
+) -> DataFrame:
+    """(_x, _y, _n, _fx, _fy) as :func:`split_pair_counts` counts them, where few items are left: dense pairs by bit arrays, others by matrix products.
+
+    ``rows`` is a (group, item, _w) table in set form of the ``n_items`` items in ``freq``.  No group is tiled, as none has more
+    than ``n_items`` members.
+    """
+    least = float(share * n_groups)
+    common = freq.where(F.col("freq") >= F.lit(least))
+    n_dense = common.count()
+    if n_dense < 2:
+        return few_pair_counts(rows, freq, group_col, item_col, n_items=n_items, n_rows=n_rows)
+    held = rows.join(F.broadcast(common.withColumnRenamed("freq", "_f")), item_col)
+    bits = group_bits(held, group_col, item_col, n_groups)
+    slots = freq.sparkSession.sparkContext.defaultParallelism
+    counts = dense_pair_counts(bits, n_groups, n_dense, tile_rows or DEFAULT_TILE_ROWS, slots)
+    counts = counts.selectExpr("_a AS _x", "_b AS _y", "_n", "_fa AS _fx", "_fb AS _fy")
+    if n_dense == n_items:
+        return counts
+    rest = few_pair_counts(rows, freq, group_col, item_col, n_items=n_items, n_rows=n_rows, dense=least, n_dense=n_dense)
+    return rest.unionByName(counts)

@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 from kinspark.functions.measures import confidence_sql, lift_sql
 from kinspark.operators.baskets import _n_col
-from kinspark.operators.bitmaps import split_pair_counts
+from kinspark.operators.bitmaps import split_few_counts, split_pair_counts
 from kinspark.operators.pairs import (
     DEFAULT_TILE_ROWS,
+    LIST_PAIRS,
+    group_work,
     item_totals,
+    members,
     mirror,
+    ordered_pairs,
     pair_counts,
     reaching,
     row_counts,
@@ -21,6 +25,8 @@ from kinspark.operators.pairs import (
     split_members,
     with_frequency,
 )
+from kinspark.operators.products import FEW_ITEMS, few_pair_counts
+from kinspark.session import stage
 
 RULE_COLUMNS = ["antecedent", "consequent", "ant_support", "cons_support", "support", "confidence", "lift"]
 METRICS = ("support", "confidence", "lift")
@@ -49,7 +55,8 @@ def association_rules(
     listed-file meaning (lines).  ``dedupe=False`` keeps the bag counts of the original
     programs, where repeats inflate counts and support can pass 1.
     ``min_support`` (off by default) keeps rules of at least that support; items
-    whose pairs can't reach it leave the baskets before the self-join.
+    whose pairs can't reach it leave the baskets before the self-join; where few items are left in large baskets,
+    their pairs are counted by matrix products in its place (:mod:`kinspark.operators.products`).
     ``dense_share`` (set form, off by default) counts pairs of items that this share of the
     baskets holds by bit arrays (:mod:`kinspark.operators.bitmaps`).
     """
@@ -57,7 +64,21 @@ def association_rules(
         raise ValueError("dense_share needs the set form: a bit holds no multiplicity")
     if min_support is not None:
         n = F.lit(row_counts(flat, trans_col, item_col).count()) if n_baskets is None else _n_col(flat, trans_col, n_baskets)
-        freq = reaching(flat, trans_col, item_col, dedupe, F.lit(float(min_support)), n)
+        # weighed once for the bounds and for products: the rows are read several times
+        held = stage(members(flat, trans_col, item_col, dedupe), "members")
+        freq = reaching(flat, trans_col, item_col, dedupe, F.lit(float(min_support)), n, held)
+        n_items = freq.count()
+        if n_items <= FEW_ITEMS and tile_rows is not None:
+            rows = held.join(F.broadcast(freq.select(item_col)), item_col, "left_semi")
+            work = group_work(rows.groupBy(trans_col).agg(F.count(F.lit(1)).alias("_m")))
+            if work.pairs > LIST_PAIRS * work.rows:
+                counted = {"n_items": n_items, "n_rows": work.rows}
+                if dense_share is None:
+                    pairs = few_pair_counts(rows, freq, trans_col, item_col, **counted)
+                else:
+                    counted |= {"n_groups": work.groups, "share": dense_share, "tile_rows": tile_rows}
+                    pairs = split_few_counts(rows, freq, trans_col, item_col, **counted)
+                return rules_from_counts(ordered_pairs(pairs, "antecedent", "consequent", "_n"), n, min_support=min_support)
         memb = split_members(rows_of(flat, trans_col, item_col, freq), trans_col, item_col, dedupe, tile_rows)
         memb = replace(memb, pruned=True)
     else:
