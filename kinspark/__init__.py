@@ -1,8 +1,9 @@
 """kinspark: item-affinity analytics and rating prediction on Spark DataFrames.
 
 Every operator is a function from DataFrame(s) to a DataFrame built from
-Spark SQL expressions (and Spark ML for ALS).  Nothing is collected to the
-driver but two counts per pair operator (groups, hot groups), which choose its plan.
+Spark SQL expressions (Spark ML for ALS, numpy in tasks for pairs of few items).
+Nothing is collected to the driver but a few counts per pair operator (group sizes by
+class, items and their range), which choose its plan.
 
 Modules
 -------
