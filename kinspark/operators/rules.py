@@ -221,19 +221,31 @@ def rules_with_descriptions(
 
 
 def described_rules(
-    rules: DataFrame, catalog: DataFrame, item_col: str = "stock_code", desc_col: str = "description"
+    rules: DataFrame,
+    catalog: DataFrame,
+    item_col: str = "stock_code",
+    desc_col: str = "description",
+    supports: DataFrame | None = None,
 ) -> DataFrame:
     """:func:`rules_with_descriptions` of a table that holds every rule in both directions.
 
     Only a < b rows are joined to the catalogue, which is a shuffle of the rules for each of the two items where
-    the catalogue is too large to broadcast; the other direction swaps supports and descriptions, and
-    divides its confidence as the first did.
+    the catalogue is too large to broadcast; the other direction swaps supports and descriptions, and confidence
+    and lift are divided as the rules' own were.  ``supports``, an (item, support) table with every item of the
+    rules, spares the shuffles the two supports too: they come with the descriptions.
     """
-    half = rules.where("antecedent < consequent").drop("confidence")
-    ant = catalog.select(F.col(item_col).alias("antecedent"), F.col(desc_col).alias("ant_description"))
-    cons = catalog.select(F.col(item_col).alias("consequent"), F.col(desc_col).alias("cons_description"))
-    found = half.join(ant, "antecedent", "left").join(cons, "consequent", "left")
+    items = catalog.select(F.col(item_col).alias("_item"), F.col(desc_col).alias("description"))
+    carried = ["ant_support", "cons_support"]
+    if supports is not None:
+        item, support = supports.columns
+        items = supports.select(F.col(item).alias("_item"), F.col(support).alias("support")).join(items, "_item", "left")
+        carried = []
+    found = rules.where("antecedent < consequent").select("antecedent", "consequent", *carried, "support")
+    for end, side in (("antecedent", "ant"), ("consequent", "cons")):
+        known = [F.col(c).alias(f"{side}_{c}") for c in items.columns if c != "_item"]
+        found = found.join(items.select(F.col("_item").alias(end), *known), end, "left")
     swap = [("ant_support", "cons_support"), ("ant_description", "cons_description")]
-    both = mirror(found, "antecedent", "consequent", ["support", "lift"], swap=swap)
+    both = mirror(found, "antecedent", "consequent", ["support"], swap=swap)
     confidence = F.expr(confidence_sql("support", "ant_support")).alias("confidence")
-    return both.select("*", confidence).select(*RULE_COLUMNS, "ant_description", "cons_description")
+    lift = F.expr(lift_sql("support", "ant_support", "cons_support")).alias("lift")
+    return both.select("*", confidence, lift).select(*RULE_COLUMNS, "ant_description", "cons_description")

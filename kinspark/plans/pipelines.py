@@ -79,11 +79,13 @@ def retail_rules(
     rules: DataFrame | None = None,
     stats: DataFrame | None = None,
     lists: DataFrame | None = None,
+    supports: DataFrame | None = None,
 ) -> RetailRules:
     """Summary, catalogue, item support, rules, their statistics, descriptions and the three top-k lists.
 
     Pass ``rules`` to reuse a rule table already written, ``stats`` and ``lists`` (a :func:`top_lists`
-    table) to reuse what came with it (see :func:`run_retail_rules`); otherwise all are planned from ``lines``.
+    table) to reuse what came with it, ``supports`` to reuse the item support (see :func:`run_retail_rules`);
+    otherwise all are planned from ``lines``.
     """
     baskets = retail_baskets(lines)
     if rules is None:
@@ -98,9 +100,9 @@ def retail_rules(
         summary=retail_summary(lines),
         countries=distinct_countries(lines),
         catalog=item_catalog(lines),
-        item_support=item_support(baskets, dedupe=dedupe),
+        item_support=item_support(baskets, dedupe=dedupe) if supports is None else supports,
         rules=rules,
-        rules_with_descriptions=described_rules(rules, desc),
+        rules_with_descriptions=described_rules(rules, desc, supports=supports),
         per_antecedent=rules_per_antecedent(rules),
         stats=rule_stats(rules) if stats is None else stats,
         top_support=top("support"),
@@ -112,13 +114,16 @@ def retail_rules(
 def run_retail_rules(spark: SparkSession, lines: DataFrame, out_dir: str, *, dedupe: bool = True, fmt: str = "parquet") -> RetailRules:
     """Write every retail output under ``out_dir``: lines are staged and the rules written first,
     everything else comes from those copies.  The write of the rules yields their statistics, and one more
-    scan of them the three top-k lists."""
+    scan of them the three top-k lists.  The described rules are lines of text, some 140 bytes each as they are:
+    their files are gzipped."""
     lines = stage(lines, "retail-lines")
     stats = write_rules(association_rules(retail_baskets(lines), dedupe=dedupe), f"{out_dir}/rules")
     rules = spark.read.parquet(f"{out_dir}/rules")
     lists = stage(top_lists(rules, TOP_K), "top-lists")
-    res = retail_rules(lines, dedupe=dedupe, rules=rules, stats=stats, lists=lists)
-    write_table(rule_lines(res.rules_with_descriptions, with_descriptions=True), f"{out_dir}/rules_with_item_desc", fmt="text")
+    supports = stage(item_support(retail_baskets(lines), dedupe=dedupe), "item-support")
+    res = retail_rules(lines, dedupe=dedupe, rules=rules, stats=stats, lists=lists, supports=supports)
+    described = rule_lines(res.rules_with_descriptions, with_descriptions=True)
+    write_table(described, f"{out_dir}/rules_with_item_desc", fmt="text", compression="gzip")
     for f in fields(res):
         if f.name not in ("rules", "rules_with_descriptions"):
             write_table(getattr(res, f.name), f"{out_dir}/{FOLDERS.get(f.name, f.name)}", fmt=fmt)

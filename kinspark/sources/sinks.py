@@ -16,9 +16,10 @@ def write_table(
     fmt: str = "parquet",
     mode: str = "errorifexists",
     partition_by: Sequence[str] | None = None,
+    **options: str,
 ) -> None:
-    """Write ``df``; by default fails if ``path`` exists, like the original output dirs."""
-    writer = df.write.format(fmt).mode(mode)
+    """Write ``df``; by default fails if ``path`` exists, like the original output dirs.  ``options`` are the writer's."""
+    writer = df.write.format(fmt).mode(mode).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
